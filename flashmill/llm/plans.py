@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flashmill.llm import copies, lines, neardup
+from flashmill.llm import copies, language, leaks, lines, neardup, tokens
 from flashmill.session import materialize, read_table
 
 
@@ -49,5 +49,35 @@ def p7_normalised(spark: SparkSession, d: str) -> DataFrame:
     return out.select("seq", F.md5("title").alias("title_md5"), F.md5("content").alias("content_md5"))
 
 
+def p8_ids(spark: SparkSession, d: str) -> DataFrame:
+    return tokens.encode_corpus(read_table(spark, d, "documents").select("doc_id", "text"), "doc_id", "text")
+
+
+def _leaks(spark: SparkSession, d: str) -> DataFrame:
+    docs = read_table(spark, d, "documents").select("doc_id", "text")
+    return leaks.find_leaks(docs, "doc_id", "text", read_table(spark, d, "eval_items").select("item_id", "passage"))
+
+
+def p9_found(spark: SparkSession, d: str) -> DataFrame:
+    return _leaks(spark, d).select("doc_id", "item_id")
+
+
+def p9_items(spark: SparkSession, d: str) -> DataFrame:
+    """Documents and longest verbatim run by leaked item."""
+    return _leaks(spark, d).groupBy("item_id").agg(F.count(F.lit(1)).alias("documents"), F.max("longest").alias("longest"))
+
+
+def p10_found(spark: SparkSession, d: str) -> DataFrame:
+    docs = read_table(spark, d, "documents").select("doc_id", "text", "lang")
+    return language.languages(docs, "doc_id", "text", "lang", everything=False).filter("found").select("doc_id", "seg_no", "lang")
+
+
+def p10_languages(spark: SparkSession, d: str) -> DataFrame:
+    """Language and confidence of every document with letters and every line of mixed ones."""
+    docs = read_table(spark, d, "documents").select("doc_id", "text", "lang")
+    return language.languages(docs, "doc_id", "text", "lang").select("doc_id", "seg_no", "lang", F.round("confidence", 4).alias("confidence"))
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (p1_found, p4_found, p4_stripped, p6_found, p6_records, p7_found, p7_normalised)}
+    own = (p1_found, p4_found, p4_stripped, p6_found, p6_records, p7_found, p7_normalised, p8_ids, p9_found, p9_items, p10_found, p10_languages)
+    return {f.__name__: f for f in own}
