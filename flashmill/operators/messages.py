@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from flashmill.operators.prefilter import bit_is_set, maybe_in
 from flashmill.session import _hadoop_path, delete_path, materialize
 
 BITS = 32768
@@ -37,12 +38,6 @@ def encode(batch: DataFrame, key: Column, order: str, shards: int) -> DataFrame:
     return d.withColumn("_shard", F.pmod(F.xxhash64("_key"), F.lit(shards)).cast("int"))
 
 
-def bit(bitmap: Column, position: Column) -> Column:
-    """Whether a bit of a bitmap of bitmap_construct_agg is set; false for a null bitmap."""
-    byte = F.conv(F.hex(F.substring(bitmap, (F.floor(position / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
-    return F.coalesce(F.call_function("getbit", byte, (position % 8).cast("int")) == 1, F.lit(False))
-
-
 def bitmaps(numbers: DataFrame) -> DataFrame:
     """_shard, _bucket, _bits: the bitmaps that hold the numbers (_shard, _id)."""
     return numbers.groupBy("_shard", F.expr("bitmap_bucket_number(_id)").alias("_bucket")).agg(F.expr("bitmap_construct_agg(bitmap_bit_position(_id))").alias("_bits"))
@@ -56,7 +51,7 @@ def select_arrivals(batch: DataFrame, key: Column, order: str, shards: int = 64,
         codes = codes.join(old, "_key", "left")
         codes = codes.withColumn("_bucket", F.expr("bitmap_bucket_number(_id)"))
         codes = codes.join(seen, ["_shard", "_bucket"], "left")
-        was = F.col("_id").isNotNull() & bit(F.col("_bits"), F.expr("bitmap_bit_position(_id)"))
+        was = F.col("_id").isNotNull() & bit_is_set(F.col("_bits"), F.expr("bitmap_bit_position(_id)"))
         codes = codes.select("_key", "_shard", "_first", "_n", was.alias("_seen"))
     else:
         codes = codes.withColumn("_seen", F.lit(False))
@@ -74,7 +69,8 @@ def duplicates(batch: DataFrame, key: Column, order: str, codes: DataFrame) -> D
     spark = batch.sparkSession
     rows = batch.select(key.alias("_key"), F.col(order).alias("_o")).filter(F.col("_key").isNotNull())
     many = codes.filter((F.col("_n") > 1) | F.col("_seen")).select("_key", "_first", "_n", "_seen")
-    total = codes.agg(F.sum("_n")).first()[0] or 0
+    total, n_many = codes.agg(F.coalesce(F.sum("_n"), F.lit(0)), F.count_if((F.col("_n") > 1) | F.col("_seen"))).first()
+    rows = maybe_in(rows, "_key", many, "_key", n_many)
     bound = max(total // SPREAD, 1000)
     hot = many.filter(F.col("_n") > bound).select(F.col("_key").alias("_k"), "_first", "_seen")
     tag = rows.join(F.broadcast(hot), F.col("_key") == F.col("_k"), "left")
