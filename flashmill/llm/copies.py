@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from flashmill.kernel import pieces, to_codes
 from flashmill.llm.forms import digests, record_keys
 from flashmill.llm.looks import looks
+from flashmill.operators.prefilter import maybe_in
 from flashmill.session import materialize
 
 #: A group with more than a SPREAD-th of all rows is hot; there are at most SPREAD of them.
@@ -46,6 +47,7 @@ def star(rows: DataFrame, groups: DataFrame) -> DataFrame:
     total = rows.count()
     bound = max(total // SPREAD, 1000)
     hot = groups.filter(F.col("_n") > bound)
+    rows = maybe_in(rows, "_key", groups, "_key", groups.count())
     tag = rows.join(F.broadcast(hot.select(F.col("_key").alias("_k"), "_first")), F.col("_key") == F.col("_k"), "left")
     a = tag.filter("_k is not null").select("_first", "_id")
     b = tag.filter("_k is null").select("_key", "_id").join(groups.filter(F.col("_n") <= bound).select("_key", "_first"), "_key").select("_first", "_id")
@@ -84,7 +86,9 @@ def look_pairs(df: DataFrame, id_col: str, title: str, content: str) -> DataFram
     rows = materialize(src.mapInArrow(_look_batches, f"_id {kind}, _look binary, _raw binary").filter("_look is not null"), "looks")
     sizes = rows.groupBy("_look").agg(F.min("_raw").alias("_lo"), F.max("_raw").alias("_hi"), F.count(F.lit(1)).alias("_n"))
     sizes = sizes.filter("_lo <> _hi").select("_look", F.ceil(F.col("_n") / 1000).cast("int").alias("_blocks"))
-    some = materialize(rows.join(sizes, "_look"), "look-variants")
+    sizes = materialize(sizes, "look-sizes")
+    few = maybe_in(rows, "_look", sizes, "_look", sizes.count())
+    some = materialize(few.join(sizes, "_look"), "look-variants")
     a = some.select("_look", F.col("_id").alias("_a"), F.col("_raw").alias("_ra"), F.pmod(F.xxhash64("_id"), F.col("_blocks")).cast("int").alias("_s"))
     b = some.select("_look", F.col("_id").alias("_b"), F.col("_raw").alias("_rb"), F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)).alias("_s"))
     j = a.join(b, ["_look", "_s"]).filter("_a < _b and _ra <> _rb")
