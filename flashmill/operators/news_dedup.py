@@ -115,20 +115,39 @@ def candidate_pairs(nd: DataFrame, minutes: int = WINDOW_MINUTES) -> DataFrame:
     return j.filter(earlier & near).select("cur", "kept", "la", "lb").distinct()
 
 
+def _trigrams(codes: np.ndarray) -> np.ndarray:
+    """The 3-grams of a text as distinct numbers, repeats numbered apart; sorted."""
+    g = np.sort((codes[:-2].astype(np.uint64) << np.uint64(42)) | (codes[1:-1].astype(np.uint64) << np.uint64(21)) | codes[2:])
+    first = np.concatenate([[True], g[1:] != g[:-1]])
+    nth = np.arange(len(g)) - np.maximum.accumulate(np.where(first, np.arange(len(g)), 0))
+    return np.sort((g * np.uint64(0x9E3779B97F4A7C15)) ^ (nth.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)))
+
+
 def _ratios(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        ok = [is_similar(x, y) for x, y in zip(b.column(2).to_pylist(), b.column(3).to_pylist())]
+        xs, ys = b.column(2).to_pylist(), b.column(3).to_pylist()
+        grams: dict[str, np.ndarray] = {}
+        for t in {*xs, *ys}:
+            grams[t] = _trigrams(np.frombuffer(t.encode("utf-32-le"), np.uint32)) if len(t) > 2 else np.zeros(0, np.uint64)
+        ok = []
+        for x, y in zip(xs, ys):
+            # M matched characters stand in at most la + lb - 2 M + 1 blocks, each of which costs two 3-grams
+            both = len(x) + len(y)
+            least = THRESHOLD / 2 * both - 2 * ((1 - THRESHOLD) * both + 1)
+            p, q = grams[x], grams[y]
+            at = np.minimum(np.searchsorted(q, p), max(len(q) - 1, 0))
+            shared = int((q[at] == p).sum()) if len(q) else 0
+            ok.append(shared >= least - 1e-6 and is_similar(x, y))
         yield b.select([0, 1]).filter(pa.array(ok, pa.bool_()))
 
 
 def near_edges(nd: DataFrame) -> DataFrame:
-    """cur, kept pairs whose texts are similar: exact bounds by length and edit distance first, the sequence comparison for what is left."""
+    """cur, kept pairs whose texts are similar: exact bounds by length and 3-grams in common first, the sequence comparison for what is left."""
     c = candidate_pairs(nd).filter(2 * F.least("la", "lb") >= THRESHOLD * (F.col("la") + F.col("lb"))).select("cur", "kept")
     t = nd.select("id", "text")
     j = c.join(t.select(F.col("id").alias("cur"), F.col("text").alias("x")), "cur").join(t.select(F.col("id").alias("kept"), F.col("text").alias("y")), "kept")
-    # matching blocks are a common subsequence: a ratio of THRESHOLD leaves (1 - THRESHOLD) of both lengths to edit at most
-    allowed = F.floor((1 - THRESHOLD) * (F.length("x") + F.length("y")) + 1e-6).cast("int")
-    j = j.filter(F.call_function("levenshtein", F.col("x"), F.col("y"), allowed) >= 0)
+    # the comparisons cost time, not bytes: an explicit number of partitions isn't merged by size
+    j = j.repartition(int(nd.sparkSession.conf.get("spark.sql.shuffle.partitions")), "cur", "kept")
     return j.select("cur", "kept", "x", "y").mapInArrow(_ratios, "cur long, kept long")
 
 
