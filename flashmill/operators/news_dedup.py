@@ -45,9 +45,10 @@ def simhash_batch(arr: pa.Array) -> np.ndarray:
         u, inv = np.unique(pair[keep], return_inverse=True)
         h = np.array([_gram_hash(chr(x >> 21) + (chr(x & 0x1FFFFF) if x & 0x1FFFFF else "")) for x in u.tolist()], np.uint64)
         out = np.zeros(n, np.uint64)
+        first = np.flatnonzero(np.concatenate([[True], row[1:] != row[:-1]]))
         for b in range(64):
             sign = (((h >> np.uint64(b)) & np.uint64(1)).astype(np.int8) * 2 - 1)[inv]
-            out |= (np.bincount(row, sign, n) > 0).astype(np.uint64) << np.uint64(b)
+            out[row[first]] |= (np.add.reduceat(sign, first, dtype=np.int32) > 0).astype(np.uint64) << np.uint64(b)
         return out.view(np.int64)
     return np.zeros(n, np.int64)
 
