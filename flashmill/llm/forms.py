@@ -36,8 +36,17 @@ def field_list_rows(codes: np.ndarray, off: np.ndarray) -> np.ndarray:
     n = len(off) - 1
     if not len(codes):
         return np.zeros(n, bool)
+    colon_at = np.flatnonzero((codes == 0x3A) | (codes == 0xFF1A))
+    some = np.flatnonzero(np.bincount(np.searchsorted(off, colon_at, "right") - 1, minlength=n) >= 2)
+    if len(some) < n // 2:  # the rest can't be lists
+        out = np.zeros(n, bool)
+        mask = np.zeros(n, bool)
+        mask[some] = True
+        if len(some):
+            out[some] = field_list_rows(codes[np.repeat(mask, np.diff(off))], np.concatenate([[0], np.cumsum(np.diff(off)[some])]))
+        return out
     row = owner(off)
-    sep = np.isin(codes, [0x3B, 0xFF1B, 0x7C, 0x0A, 0x0D])
+    sep = (codes == 0x3B) | (codes == 0xFF1B) | (codes == 0x7C) | (codes == 0x0A) | (codes == 0x0D)
     first = np.zeros(len(codes), bool)
     first[off[:-1][off[:-1] < len(codes)]] = True
     piece = np.cumsum(sep | first)  # the separator opens the next piece
