@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flashmill.llm import copies, language, leaks, lines, neardup, tokens
+from flashmill.llm import copies, language, leaks, lines, neardup, sql, tokens
 from flashmill.session import materialize, read_table
 
 
@@ -81,3 +81,7 @@ def p10_languages(spark: SparkSession, d: str) -> DataFrame:
 def queries() -> dict:
     own = (p1_found, p4_found, p4_stripped, p6_found, p6_records, p7_found, p7_normalised, p8_ids, p9_found, p9_items, p10_found, p10_languages)
     return {f.__name__: f for f in own}
+
+
+def oracle_sql() -> dict:
+    return sql.oracles()
