@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flashmill.operators import messages, nested, timestamps
-from flashmill.session import materialize, read_table, shared_dir
+from flashmill.session import delete_at_exit, materialize, read_table, shared_dir
 
 
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
@@ -36,7 +36,9 @@ def p3_found(spark: SparkSession, d: str) -> DataFrame:
     rows = _news_instants(spark, d, "news_id")
     rows = materialize(rows.select("seq", message_key("news_id", "epoch_us", "publish_time").alias("message")).filter("message is not null"), "arrivals")
     shards = max(64, rows.count() // 2_000_000)
-    store = messages.SeenStore(spark, f"{shared_dir(spark)}/seen-{uuid.uuid4().hex}", shards)
+    path = f"{shared_dir(spark)}/seen-{uuid.uuid4().hex}"
+    delete_at_exit(spark, path)
+    store = messages.SeenStore(spark, path, shards)
     return store.add(rows, F.col("message"), "seq").select(F.col("kept").alias("kept_seq"), F.col("dup").alias("dup_seq"))
 
 

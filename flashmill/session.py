@@ -35,6 +35,12 @@ def delete_path(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
+def delete_at_exit(spark: SparkSession, path: str) -> None:
+    """Have a path of the shared folder removed when the session's file system is closed."""
+    fs, p = _hadoop_path(spark, path)
+    fs.deleteOnExit(p)
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write df as a table into the shared folder and read it back.
 
@@ -44,8 +50,7 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    fs, p = _hadoop_path(spark, path)
-    fs.deleteOnExit(p)
+    delete_at_exit(spark, path)
     return spark.read.schema(df.schema).parquet(path)
 
 
