@@ -12,8 +12,9 @@
    in the lists of its grams. A new batch searches every segment with a beam
    entered at its grams, then becomes a segment; neighbouring segments of like
    size are compacted into one graph, so that there are few.
-4. Pairs the beams return are reranked exactly: by their 4-grams in common, and
-   by edit distance, which is left off as soon as it must exceed the allowed one.
+4. Pairs the beams return are decided exactly in the shard, by edit distance:
+   lengths and character counts give a lower bound of it, and the bit vectors of
+   many pairs go on together until it must exceed the allowed one.
 
 BEAM, ENTRIES and LINKS are widened until the beams find what an exhaustive
 search of the shards finds (``recall_against_exhaustive``).
@@ -35,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flashmill.kernel import expand_folds, keep, owner, pieces, to_strings
+from flashmill.kernel import expand_folds, keep, owner, pieces, to_codes, to_strings
 from flashmill.llm.forms import digests, field_list_rows, form_codes, forms, split_fields
 from flashmill.llm.lines import line_ids
 from flashmill.llm.looks import looks
@@ -49,14 +50,17 @@ TABLE_BITS = 20
 SLOTS = 64
 RARE, ANY = 4, 1
 #: Routed entries in one shard, and nodes of one gram that stay together.
-SHARD_ENTRIES = 150_000
+SHARD_ENTRIES = 75_000
 HOT = 50_000
 BEAM, ENTRIES, LINKS, ROUNDS = 12, 8, 10, 8
-#: Slots in common that make a pair worth the exact comparison.
-LEAST_SHARED = 27
+#: Slots in common that make a pair worth the exact comparison; of pairs with 19 % of single characters changed, 0.998 have them.
+LEAST_SHARED = 12
 BEST = 3
-#: Exact share of 4-grams in common that the signatures stand for; what they rated too high is left out here.
-LEAST_OVERLAP = 0.33
+#: Cells of a text's character counts; pairs whose distances are computed together, and characters of these.
+COUNTS = 64
+TOGETHER, TOGETHER_CHARS = 1024, 1 << 20
+#: Longer texts are compared pair by pair.
+LONG = 20_000
 #: Slots in common that end a beam: the pair is as good as equal.
 SURE = 58
 
@@ -357,7 +361,13 @@ def _search_shard(since: int | None):
         sig = np.frombuffer(b"".join(t.column("_sig").to_pylist()), np.uint8).reshape(-1, SLOTS // 2)
         shard = Shard(col("_gram"), col("_node"), col("_first"), sig)
         q, p = shard.replay(since=since)
-        yield pa.RecordBatch.from_arrays([pa.array(shard.node[q]), pa.array(shard.node[p]), pa.array(shard.batch[p])], ["_q", "_p", "_pb"])
+        if len(q):
+            ids, row = np.unique(col("_node"), return_index=True)
+            texts = t.column("_text").take(pa.array(row)).combine_chunks()
+            x, y = np.searchsorted(ids, shard.node[q]), np.searchsorted(ids, shard.node[p])
+            ok = close_pairs(texts, x, y, shard.shared(q, p))
+            q, p = q[ok], p[ok]
+        yield pa.RecordBatch.from_arrays([pa.array(shard.node[q]), pa.array(shard.batch[p])], ["_q", "_pb"])
 
     return run
 
@@ -380,30 +390,20 @@ def canonical_rows(src: DataFrame, common: np.ndarray, spread: float) -> DataFra
 
 def nodes_of(rows: DataFrame) -> DataFrame:
     """One row per distinct text: its first batch, the smallest id there, its sketch, and its rows."""
-    nodes = rows.groupBy("_key").agg(F.min(F.struct("_batch", "_id")).alias("_m"), F.first("_sig").alias("_sig"), F.first("_route").alias("_route"), F.count(F.lit(1)).alias("_n"))
-    return materialize(nodes.select("_key", F.col("_m._batch").alias("_first"), F.col("_m._id").alias("_node"), "_sig", "_route", "_n"), "nodes")
+    nodes = rows.groupBy("_key").agg(F.min(F.struct("_batch", "_id")).alias("_m"), *(F.first(c).alias(c) for c in ("_sig", "_route", "_text")), F.count(F.lit(1)).alias("_n"))
+    return materialize(nodes.select("_key", F.col("_m._batch").alias("_first"), F.col("_m._id").alias("_node"), "_sig", "_route", "_text", "_n"), "nodes")
 
 
 def routed(nodes: DataFrame) -> DataFrame:
-    return nodes.filter("_sig is not null").select(F.explode("_route").alias("_gram"), "_node", "_first", "_sig")
+    return nodes.filter("_sig is not null").select(F.explode("_route").alias("_gram"), "_node", "_first", "_sig", "_text")
 
 
-def candidate_pairs(entries: DataFrame, n_entries: int, since: int | None = None) -> DataFrame:
-    """Written table of _q, _p, _pb: what the beams find, shard by shard."""
+def near_nodes(entries: DataFrame, n_entries: int, since: int | None = None) -> DataFrame:
+    """Written table of _node, _near: a batch of a text within MAX_EDITS that the beams find, shard by shard."""
     shards = max(1, math.ceil(n_entries / SHARD_ENTRIES))
     dealt = entries.withColumn("_shard", F.pmod(F.xxhash64("_gram"), F.lit(shards)))
-    pairs = dealt.groupBy("_shard").applyInArrow(_search_shard(since), "_q long, _p long, _pb long")
-    return materialize(pairs.groupBy("_q", "_p").agg(F.min("_pb").alias("_pb")), "pairs")
-
-
-def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """_node, _near: the earliest batch of a text within MAX_EDITS; texts: _id, _text, of which only the pairs' are shuffled."""
-    ids = pairs.select(F.col("_q").alias("_id")).union(pairs.select("_p")).distinct()
-    few = maybe_in(texts, "_id", ids, "_id", 2 * pairs.count())
-    texts = materialize(few.join(ids, "_id"), "texts")  # an inner join: a semi join would be moved below the prefilter
-    j = pairs.join(texts.select(F.col("_id").alias("_q"), F.col("_text").alias("_tq")), "_q").join(texts.select(F.col("_id").alias("_p"), F.col("_text").alias("_tp")), "_p")
-    j = j.select("_q", "_pb", "_tq", "_tp").mapInArrow(_close_batches, "_q long, _pb long")
-    return j.groupBy(F.col("_q").alias("_node")).agg(F.min("_pb").alias("_near"))
+    pairs = dealt.groupBy("_shard").applyInArrow(_search_shard(since), "_q long, _pb long")
+    return materialize(pairs.groupBy(F.col("_q").alias("_node")).agg(F.min("_pb").alias("_near")), "near")
 
 
 def within(a: str, b: str, k: int) -> bool:
@@ -440,24 +440,112 @@ def within(a: str, b: str, k: int) -> bool:
     return d <= k
 
 
-def _text_grams(t: str) -> np.ndarray:
-    """Sorted distinct codes of a text's 4-grams."""
-    c = (np.frombuffer(t.encode("utf-32-le"), np.uint32).astype(np.uint64) + np.uint64(1)) * _MUL
-    return uniq(c[:-3] * _B3 + c[1:-2] * _B2 + c[2:-1] * _B + c[3:]) if len(c) > 3 else np.zeros(0, np.uint64)
+def within_many(codes: np.ndarray, off: np.ndarray, x: np.ndarray, y: np.ndarray, k: np.ndarray) -> np.ndarray:
+    """Whether the edit distance of texts x and y is k at most: ``within`` for pairs of like length together, a word of 64 places at a time."""
+    size = np.diff(off)
+    out = np.zeros(len(x), bool)
+    a, b = np.where(size[x] <= size[y], x, y), np.where(size[x] <= size[y], y, x)  # a is the shorter
+    m, n = size[a], size[b]
+    some = np.flatnonzero((n - m <= k) & (m > 0))
+    out[m == 0] = (n <= k)[m == 0]
+    some = some[np.lexsort((n[some], m[some]))]
+    while len(some):
+        # the longest first; as many as hold TOGETHER_CHARS at most
+        count = int(max(1, min(TOGETHER, TOGETHER_CHARS // max(1, n[some[-1]]), len(some))))
+        i, some = some[-count:], some[:-count]
+        if count == 1 or n[i].max() > LONG:
+            for one in i.tolist():
+                t, u = (codes[off[r] : off[r + 1]].astype("<u4").tobytes().decode("utf-32-le", "surrogatepass") for r in (a[one], b[one]))
+                out[one] = within(t, u, int(k[one]))
+        else:
+            out[i] = _together(codes, off[a[i]], m[i], off[b[i]], n[i], k[i])
+    return out
+
+
+def _together(codes: np.ndarray, a: np.ndarray, m: np.ndarray, b: np.ndarray, n: np.ndarray, k: np.ndarray) -> np.ndarray:
+    """Whether the texts of length m at a and of length n at b are within k."""
+    count, one = len(m), np.uint64(1)
+    ai, bi = owner(np.concatenate([[0], np.cumsum(m)])), owner(np.concatenate([[0], np.cumsum(n)]))
+    aj, bj = np.arange(len(ai)) - np.repeat(np.cumsum(m) - m, m), np.arange(len(bi)) - np.repeat(np.cumsum(n) - n, n)
+    ac, bc = codes[a[ai] + aj], codes[b[bi] + bj]
+    alphabet = np.zeros(0x110000, bool)
+    alphabet[ac] = alphabet[bc] = True
+    kinds = int(alphabet.sum())
+    number = np.cumsum(alphabet, dtype=np.int32) - 1
+    ac, bc = ai * kinds + number[ac], bi * kinds + number[bc]
+    ca, cb = (np.bincount(c, minlength=count * kinds).reshape(count, kinds) for c in (ac, bc))
+    # characters without a partner of their kind; the counts bound the distance from below
+    out = np.maximum(np.maximum(ca - cb, 0).sum(1), np.maximum(cb - ca, 0).sum(1)) <= k
+    act = np.flatnonzero(out)
+    if not len(act):
+        return out
+    # the characters of each shorter text numbered from 1
+    own = np.cumsum(ca > 0, 1, dtype=np.int32) * (ca > 0)
+    kinds = int(own.max()) + 1
+    own = own.ravel()
+    words = int(-(-m.max() // 64))
+    eq = np.zeros(words * count * kinds, np.uint64)
+    np.add.at(eq, ((aj >> 6) * count + ai) * kinds + own[ac], one << (aj & 63).astype(np.uint64))
+    eq = eq.reshape(words, -1)
+    sym = np.zeros((int(n.max()), count), np.int64)
+    sym[bj, bi] = own[bc]
+    sym += np.arange(count) * kinds
+    pv, mv = np.full((words, len(act)), ~np.uint64(0)), np.zeros((words, len(act)), np.uint64)
+    top, at, bit = (m - 1) >> 6, np.arange(len(act)), ((m - 1) & 63).astype(np.uint64)
+    d = m.astype(np.int64)[act]
+    top, bit, rest, most = top[act], bit[act], n[act], k[act]
+    for j in range(int(n.max())):
+        c = sym[j, act]
+        add, less = one, np.uint64(0)
+        ups, downs = np.empty_like(pv), np.empty_like(pv)
+        for w in range(words):
+            e, p, v = eq[w].take(c), pv[w], mv[w]
+            xv = e | v
+            e |= less
+            xh = (((e & p) + p) ^ p) | e
+            ups[w] = ph = v | ~(xh | p)
+            downs[w] = mh = p & xh
+            ph, mh, add, less = ph << one | add, mh << one | less, ph >> np.uint64(63), mh >> np.uint64(63)
+            pv[w] = mh | ~(xv | ph)
+            mv[w] = ph & xv
+        d += (ups[top, at] >> bit & one).astype(np.int64) - (downs[top, at] >> bit & one).astype(np.int64)
+        end = rest == j + 1
+        if end.any() or j & 15 == 15:
+            far = d - (rest - j - 1) > most
+            out[act[far]] = False
+            go = ~(far | end)
+            act, pv, mv, d = act[go], pv[:, go], mv[:, go], d[go]
+            top, bit, rest, most, at = top[go], bit[go], rest[go], most[go], at[: len(act)]
+            if not len(act):
+                break
+    return out
 
 
-def _close_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        grams: dict[str, np.ndarray] = {}
-        ok = []
-        for x, y in zip(b.column(2).to_pylist(), b.column(3).to_pylist()):
-            for t in (x, y):
-                if t not in grams:
-                    grams[t] = _text_grams(t)
-            p, q = grams[x], grams[y]
-            shared = int((q[np.minimum(np.searchsorted(q, p), len(q) - 1)] == p).sum()) if len(q) else 0
-            ok.append(shared >= LEAST_OVERLAP * (len(p) + len(q) - shared) and within(x, y, int(MAX_EDITS * max(len(x), len(y)) + 1e-9)))
-        yield b.select([0, 1]).filter(pa.array(ok, pa.bool_()))
+def close_pairs(texts: pa.Array, x: np.ndarray, y: np.ndarray, shared: np.ndarray) -> np.ndarray:
+    """Places of pairs of texts within MAX_EDITS; of each x only the first found, those with more slots in common being tried first."""
+    codes, off = to_codes(texts)
+    size = np.diff(off)
+    cell = owner(off) * COUNTS + (_mix(codes.astype(np.uint64) * _MUL) >> np.uint64(58)).astype(np.int64)
+    counts = np.minimum(np.bincount(cell, minlength=len(size) * COUNTS), 32_000).astype(np.int16).reshape(-1, COUNTS)
+    k = (MAX_EDITS * np.maximum(size[x], size[y]) + 1e-9).astype(np.int64)
+    may = np.flatnonzero(np.abs(size[x] - size[y]) <= k)
+    keep_ = [np.zeros(0, np.int64)]
+    for cut in range(0, len(may), 100_000):
+        i = may[cut : cut + 100_000]
+        diff = counts[x[i]].astype(np.int32) - counts[y[i]]
+        up = np.maximum(diff, 0).sum(1)
+        keep_.append(i[np.maximum(up, up - diff.sum(1)) <= k[i]])
+    i = np.concatenate(keep_)
+    i = i[np.lexsort((-shared[i], x[i]))]
+    rank = np.arange(len(i)) - np.searchsorted(x[i], x[i])
+    found, done = [np.zeros(0, np.int64)], np.zeros(len(size), bool)
+    for lo, hi in ((0, 1), (1, 4), (4, len(i) + 1)):
+        r = i[(rank >= lo) & (rank < hi)]
+        r = r[~done[x[r]]]
+        r = r[within_many(codes, off, x[r], y[r], k[r])]
+        done[x[r]] = True
+        found.append(r)
+    return np.concatenate(found)
 
 
 def _source_rows(news: DataFrame, drop: DataFrame | None, id_col: str, batch, source: str, text: str) -> DataFrame:
@@ -476,8 +564,7 @@ def find_repeats(news: DataFrame, drop: DataFrame | None, id_col: str = "seq", b
     common, spread = fit(src, "_c", "_id")
     rows = canonical_rows(src, common, spread)
     nodes = nodes_of(rows)
-    pairs = candidate_pairs(routed(nodes), total * (RARE + ANY))
-    near = verified(pairs, rows.select("_id", "_text"))
+    near = near_nodes(routed(nodes), total * (RARE + ANY))
     known = nodes.select("_key", "_node", "_first", "_n").join(near, "_node", "left")
     known = known.select("_key", F.least("_first", "_near").alias("_since"), "_first", "_n")
     known = materialize(known.filter((F.col("_n") > 1) | (F.col("_since") < F.col("_first"))), "known")
@@ -551,9 +638,7 @@ class HistoryIndex:
             n_grams = grams.count()
             theirs = maybe_in(routed(history), "_gram", grams, "_gram", n_grams).join(grams, "_gram")
             entries = materialize(mine.unionByName(theirs), "entries")
-            pairs = candidate_pairs(entries, entries.count(), since=state["batches"])
-            both = rows.select("_id", "_text").unionByName(history.select(F.col("_node").alias("_id"), "_text"))
-            near = verified(pairs, both)
+            near = near_nodes(entries, entries.count(), since=state["batches"])
             hit = nodes.join(near, "_node", "left").filter("_old or _near is not null").select("_key", F.lit(-1).alias("_since"), "_n")
             found = _later(rows.select("_id", "_batch", "_key"), materialize(hit, "hit"), rows.count())
         found = materialize(found.select(F.col("_id").alias(id_col)), "found")

@@ -6,7 +6,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from flashmill.kernel import to_strings
+from flashmill.kernel import to_codes, to_strings
 from flashmill.llm import copies, language, leaks, lines, looks, neardup, plans, tokens
 
 SYL = ["ba", "ke", "mo", "zor", "lin", "tas", "quo", "fel", "dun", "var"]
@@ -246,6 +246,41 @@ def test_edit_distance_bound():
             assert neardup.within(a, b, k) == (d <= k)
 
 
+def test_edit_distances_together(monkeypatch):
+    monkeypatch.setattr(neardup, "TOGETHER", 50)
+    rnd = random.Random(14)
+    xs = ["".join(rnd.choice("abcd斯哈") for _ in range(rnd.choice([0, 1, 3, 20, 63, 64, 65, 127, 128, 129, 200]))) for _ in range(60)]
+    xs += ["".join(c for c in x if rnd.random() < 0.9) for x in xs]
+    codes, off = to_codes(pa.array(xs))
+    x, y = (np.array([rnd.randrange(120) for _ in range(1500)]) for _ in range(2))
+    x, y = np.concatenate([x, np.arange(60)]), np.concatenate([y, np.arange(60, 120)])
+    d = np.array([distance(xs[i], xs[j]) if xs[i] else len(xs[j]) for i, j in zip(x, y)])
+    for k in (d, d - 1, d + 1, np.full(len(x), 9)):
+        assert (neardup.within_many(codes, off, x, y, k) == (d <= k)).all()
+
+
+def spread(rnd, t, share, chars):
+    t = list(t)
+    for i in rnd.sample(range(len(t)), int(share * len(t))):
+        t[i] = rnd.choice([c for c in chars if c != t[i]])
+    return "".join(t)
+
+
+def test_spread_single_edits_are_compared():
+    rnd = random.Random(15)
+    form = lambda t: "".join(c for c in t if c.isalnum()).casefold()
+    han = [chr(c) for c in range(0x4E00, 0x4E00 + 800)]
+    first = [form(item(rnd, 3)) for _ in range(60)] + ["".join(rnd.choice(han) for _ in range(160)) for _ in range(60)]
+    later = [spread(rnd, t, 0.18, "abcdefghijklmnopqrstuvwxyz" if t.isascii() else han) for t in first]
+    sig, _ = neardup.sketch(*to_codes(pa.array(first + later)), np.zeros(1 << neardup.TABLE_BITS, np.float32))
+    n = len(first)
+    gram, node = np.tile(np.arange(n), 2), np.arange(2 * n)
+    shard = neardup.Shard(gram, node, node // n, sig)
+    q, p = shard.replay()
+    ok = neardup.close_pairs(pa.array(first + later), shard.node[q], shard.node[p], shard.shared(q, p))
+    assert len(set(shard.node[q][ok].tolist())) >= 0.97 * n
+
+
 def test_repeats_of_history(spark):
     rows, equal, edited, planted = corpus(random.Random(10))
     df = spark.createDataFrame([(i, b, t, "s") for i, b, t in rows], "seq long, batch_no long, content string, source string").withColumn("_id", F.lit(1))
