@@ -48,7 +48,11 @@ MAX_EDITS = 0.2
 SAMPLE = 20_000
 TABLE_BITS = 20
 SLOTS = 64
-RARE, ANY = 4, 1
+#: Routing grams of a text: rare ones, ones that are rare among those other texts of the sample hold too, and ones by hash alone.
+RARE, KNOWN, ANY = 4, 2, 4
+#: Texts of the sample that hold a known gram.
+LEAST_KNOWN = 2
+ROUTES = RARE + KNOWN + ANY
 #: Routed entries in one shard, and nodes of one gram that stay together.
 SHARD_ENTRIES = 75_000
 HOT = 50_000
@@ -102,10 +106,10 @@ def grams(codes: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
 
 
 def sketch(codes: np.ndarray, off: np.ndarray, common: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(signature, SLOTS half bytes in [n, SLOTS / 2], routing grams [n, RARE + ANY], 0 for none) of canonical documents."""
+    """(signature, SLOTS half bytes in [n, SLOTS / 2], routing grams [n, ROUTES], 0 for none) of canonical documents."""
     n = len(off) - 1
     sig = np.full((n, SLOTS), 0xFFFFFFFF, np.uint32)
-    route = np.zeros((n, RARE + ANY), np.uint64)
+    route = np.zeros((n, ROUTES), np.uint64)
     h4, hr, doc = grams(codes, off)
     if len(h4):
         cell = doc * SLOTS + (h4 >> np.uint64(58)).astype(np.int64)
@@ -116,7 +120,8 @@ def sketch(codes: np.ndarray, off: np.ndarray, common: np.ndarray) -> tuple[np.n
         u = (hr >> np.uint64(40)).astype(np.float32) + 1
         df = common[(hr & np.uint64((1 << TABLE_BITS) - 1)).astype(np.int64)]
         other = ((hr * _MUL) >> np.uint64(40)).astype(np.float32) + 1
-        for score, k0, k in ((u * (1 + df) ** 2, 0, RARE), (other, RARE, ANY)):
+        rare = u * (1 + df) ** 2
+        for score, k0, k in ((rare.copy(), 0, RARE), (np.where(df >= LEAST_KNOWN, rare, _FAR), RARE, KNOWN), (other, RARE + KNOWN, ANY)):
             for r in range(k):
                 m = np.minimum.reduceat(score, first)
                 at = score == m[slot]
@@ -183,7 +188,7 @@ def _canon(part: pa.RecordBatch, common: np.ndarray, spread: float) -> pa.Record
     df = common[(route & np.uint64((1 << TABLE_BITS) - 1)).astype(np.int64)]
     cells = np.maximum(np.ceil(df * spread / HOT), 1).astype(np.uint64)
     # a gram of many nodes is split by a second gram that near texts share
-    second = _mix(route[:, RARE + ANY - 1] * _B)[:, None] % cells
+    second = _mix(route[:, RARE + KNOWN] * _B)[:, None] % cells
     route = np.where(route == 0, 0, np.where(cells > 1, _mix(route + second * _MUL), route))
     # columns of the long texts, spread over all rows with nulls between
     k = int(long.sum())
@@ -564,7 +569,7 @@ def find_repeats(news: DataFrame, drop: DataFrame | None, id_col: str = "seq", b
     common, spread = fit(src, "_c", "_id")
     rows = canonical_rows(src, common, spread)
     nodes = nodes_of(rows)
-    near = near_nodes(routed(nodes), total * (RARE + ANY))
+    near = near_nodes(routed(nodes), total * ROUTES)
     known = nodes.select("_key", "_node", "_first", "_n").join(near, "_node", "left")
     known = known.select("_key", F.least("_first", "_near").alias("_since"), "_first", "_n")
     known = materialize(known.filter((F.col("_n") > 1) | (F.col("_since") < F.col("_first"))), "known")

@@ -281,6 +281,26 @@ def test_spread_single_edits_are_compared():
     assert len(set(shard.node[q][ok].tolist())) >= 0.97 * n
 
 
+def test_routes_within_a_family_of_a_third():
+    rnd = random.Random(16)
+    base = item(rnd, 3)
+    for share in (0.1, 0.15, 0.19):
+        family = []
+        for _ in range(300):
+            w = base.split()
+            for k in rnd.sample(range(len(w)), int(share * len(w))):
+                w[k] = "".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in w[k])
+            family.append("".join(w).lower())
+        common = neardup.commonness(pa.array(family + [item(rnd, 3) for _ in range(600)]))
+        common *= 20  # the family of a sample of 18,000 texts
+        _, route = neardup.sketch(*to_codes(pa.array(family)), common)
+        seen, lost = set(), 0
+        for r in route.tolist():
+            lost += seen.isdisjoint(set(r) - {0})
+            seen |= set(r)
+        assert lost <= 3 + 1  # the first has none before it
+
+
 def test_repeats_of_history(spark):
     rows, equal, edited, planted = corpus(random.Random(10))
     df = spark.createDataFrame([(i, b, t, "s") for i, b, t in rows], "seq long, batch_no long, content string, source string").withColumn("_id", F.lit(1))
