@@ -59,7 +59,6 @@ HOT = 50_000
 BEAM, ENTRIES, LINKS, ROUNDS = 12, 8, 10, 8
 #: Slots in common that make a pair worth the exact comparison; of pairs with 19 % of single characters changed, 0.998 have them.
 LEAST_SHARED = 12
-BEST = 3
 #: Cells of a text's character counts; pairs whose distances are computed together, and characters of these.
 COUNTS = 64
 TOGETHER, TOGETHER_CHARS = 1024, 1 << 20
@@ -263,7 +262,7 @@ class Shard:
         return links
 
     def search(self, q: np.ndarray, lo: int, hi: int, links: np.ndarray, beam: int = BEAM) -> tuple[np.ndarray, np.ndarray]:
-        """(query, node) pairs the beams end with, at least LEAST_SHARED slots in common."""
+        """All (query, node) pairs the beams end with that have at least LEAST_SHARED slots in common."""
         count = self.node_start[q + 1] - self.node_start[q]
         who = np.repeat(q, count)
         ent = self.by_node[np.repeat(self.node_start[q], count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)]
@@ -292,11 +291,7 @@ class Shard:
         qs, ps = pair // (self.n + 1), pair % (self.n + 1)
         s = self.shared(qs, ps)
         ok = s >= LEAST_SHARED
-        qs, ps, s = qs[ok], ps[ok], s[ok]
-        order = np.lexsort((ps, -s, qs))
-        qs, ps = qs[order], ps[order]
-        rank = np.arange(len(qs)) - np.searchsorted(qs, qs)
-        return qs[rank < BEST], ps[rank < BEST]
+        return qs[ok], ps[ok]
 
     def _beam(self, who: np.ndarray, start: np.ndarray, lo: int, links: np.ndarray, beam: int) -> tuple[np.ndarray, np.ndarray]:
         rows = len(who)

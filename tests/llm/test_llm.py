@@ -301,6 +301,20 @@ def test_routes_within_a_family_of_a_third():
         assert lost <= 3 + 1  # the first has none before it
 
 
+def test_a_repeat_behind_closer_sketches():
+    rnd = random.Random(17)
+    parts = ["".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(100)) for _ in range(4)]
+    moved = ["".join(parts[i] for i in o) for o in ((1, 0, 3, 2), (2, 3, 0, 1), (3, 2, 1, 0), (1, 2, 3, 0))]
+    text = "".join(parts)
+    texts = [*moved, spread(rnd, text, 0.12, "abcdefghijklmnopqrstuvwxyz"), text]
+    sig, _ = neardup.sketch(*to_codes(pa.array(texts)), np.zeros(1 << neardup.TABLE_BITS, np.float32))
+    node = np.arange(6)
+    shard = neardup.Shard(np.zeros(6, np.int64), node, node // 5, sig)
+    q, p = shard.replay()
+    ok = neardup.close_pairs(pa.array(texts), shard.node[q], shard.node[p], shard.shared(q, p))
+    assert [(shard.node[a], shard.node[b]) for a, b in zip(q[ok], p[ok])] == [(5, 4)]
+
+
 def test_repeats_of_history(spark):
     rows, equal, edited, planted = corpus(random.Random(10))
     df = spark.createDataFrame([(i, b, t, "s") for i, b, t in rows], "seq long, batch_no long, content string, source string").withColumn("_id", F.lit(1))
