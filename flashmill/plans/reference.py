@@ -225,8 +225,8 @@ def list_detail_join(spark, d):
 
 def w2v_expand(spark, d):
     tok = expansion.tokenize(read_table(spark, d, "news").select(F.col("content").alias("text")).filter("text is not null"), "text")
-    model = expansion.train_word2vec(tok, size=50, rounds=1)
-    seeds = spark.createDataFrame([("silver", "positive"), ("gold", "positive"), ("stall", "negative"), ("白银", "positive"), ("回落", "negative")], "word string, polarity string")
+    model = expansion.train_word2vec(tok)
+    seeds = lexicon_merge(spark, d)
     if model is None:
         return spark.createDataFrame([], "word string, source_seed string, similarity double, polarity string")
     return expansion.expand(model, seeds)

@@ -149,3 +149,14 @@ def test_stream(spark, tmp_path, ontology):
     q = news.daily_counts(news.read_stream(spark, str(tmp_path / "in")), ontology).writeStream.format("memory").queryName("daily").outputMode("complete").option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start()
     q.awaitTermination(120)
     assert [(r.direction, r.events) for r in spark.table("daily").collect()] == [("bearish", 1)]
+
+
+def test_w2v_expand_does_the_operators_job(spark, monkeypatch):
+    from flashmill.plans import reference
+
+    used = {}
+    monkeypatch.setattr(expansion, "train_word2vec", lambda tokens, **kw: used.update(kw) or "model")
+    monkeypatch.setattr(expansion, "expand", lambda model, seeds: seeds)
+    d = "/root/testdata/sf0.001"
+    got = {tuple(r) for r in reference.w2v_expand(spark, d).select("word", "polarity").collect()}
+    assert used == {} and got == {tuple(r) for r in reference.lexicon_merge(spark, d).collect()} and len(got) > 5
