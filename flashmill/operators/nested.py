@@ -31,8 +31,6 @@ from flashmill.kernel import pieces
 
 KEYS = ("items", "extraction", "events", "commodities", "summary", "dominant_types", "event_type")
 EVENT_FIELDS = ("event_type_name", "direction", "direction_cn", "degree", "degree_cn", "trigger_word", "reversed", "reversal_word", "degree_word", "position")
-#: How deep JSON text may be nested in JSON text.
-MAX_NESTED = 16
 
 _NUMBER = re.compile(rb"-?(?:0|[1-9]\d*)(?:\.\d+)?(?:[eE][+-]?\d+)?\Z")
 _WORDS = {b"true", b"false", b"null"}
@@ -233,9 +231,7 @@ def extract(docs: list[bytes], fields: bool = False) -> Iterator[tuple]:
     """(document number, item_no, child, child_no, child_value, fields) of a batch of documents."""
     #: work: text, document number, item number (-1: not known yet), role, place, what to do if it isn't JSON
     work = [(x, i, -1, "root", 0, None) for i, x in enumerate(docs)]
-    for _ in range(MAX_NESTED):
-        if not work:
-            return
+    while work:  # each round's texts are shorter
         ix = Index([w[0] for w in work])
         ix.link()
         more: list[tuple] = []

@@ -54,3 +54,10 @@ def test_table_with_clashing_names_and_nulls(spark):
     assert [tuple(r) for r in nested.flatten_extractions(df, "extraction_id", "payload").collect()] == [(2, 0, "commodity", 0, "gold")]
     assert nested.flatten_extractions(df.limit(0), "extraction_id", "payload").count() == 0
     assert nested.flatten_events(df, "extraction_id", "payload").count() == 0
+
+
+def test_json_text_nested_deeply():
+    x = json.dumps({"events": [{"event_type": "a"}]})
+    for _ in range(18):
+        x = json.dumps({"extraction": x})
+    assert [r[:5] for r in nested.extract([x.encode()])] == [(0, 0, "event", 0, "a")]
