@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import os
 import tempfile
 import uuid
@@ -14,10 +15,12 @@ ROOT = Path(__file__).resolve().parent.parent
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir, or a folder of this machine where it is unset (tests)."""
+    """The folder all executors share: spark.checkpoint.dir; where that is unset a folder of this machine, with a local master only."""
     sc = spark.sparkContext
     at = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
     if not at:
+        if not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         at = getattr(shared_dir, "own", None)
         if at is None:
             at = shared_dir.own = "file://" + tempfile.mkdtemp(prefix="flashmill-")
@@ -54,6 +57,38 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+class Versions:
+    """Numbered states (JSON) of a store in a folder all executors share; the highest complete one is in force.
+
+    A state is created exclusively: of two writers of one number the second
+    fails. A file that a dying writer left incomplete is never in force.
+    """
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path.rstrip("/")
+
+    def latest(self) -> tuple[int, dict | None]:
+        """(the highest number given out, the state in force or none)."""
+        fs, p = _hadoop_path(self.spark, self.path)
+        if not fs.exists(p):
+            return -1, None
+        names = [f.getPath().getName() for f in fs.listStatus(p)]
+        numbers = sorted((int(n[6:]) for n in names if n.startswith("state-")), reverse=True)
+        for n in numbers:
+            text = self.spark.read.text(f"{self.path}/state-{n:08d}", wholetext=True).first()
+            try:
+                return numbers[0], json.loads(text[0])
+            except (TypeError, ValueError):
+                continue
+        return (numbers[0] if numbers else -1), None
+
+    def commit(self, number: int, state: dict) -> None:
+        fs, p = _hadoop_path(self.spark, f"{self.path}/state-{number:08d}")
+        out = fs.create(p, False)
+        out.write(bytearray(json.dumps(state).encode()))
+        out.close()
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
