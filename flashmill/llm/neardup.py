@@ -3,21 +3,25 @@
 1. Each content loses its source's repeated lines and is brought to the forms
    of problems 7 and 6 in one pass over code points; equal contents become one
    node with the first batch that holds them.
-2. A node gets a sketch: a signature of half bytes over its 4-grams (their
-   share in common estimates similarity) and a few routing grams, the smallest by hash times
-   commonness; commonness is fitted on a bounded sample (SAMPLE texts).
-3. Routing grams deal the nodes out over shards. In a shard, each history
-   segment (the nodes of a range of batches) is a navigable small-world graph:
-   a node is linked to the most similar of the nodes at power-of-two distances
-   in the lists of its grams. A new batch searches every segment with a beam
-   entered at its grams, then becomes a segment; neighbouring segments of like
-   size are compacted into one graph, so that there are few.
-4. Pairs the beams return are decided exactly in the shard, by edit distance:
-   lengths and character counts give a lower bound of it, and the bit vectors of
-   many pairs go on together until it must exceed the allowed one.
+2. A node gets a sketch of SLOTS half bytes: in each slot the gram with the
+   smallest exponential draw over its weight (one-permutation weighted
+   min-hash), together with the sixth of the text it stands in. Weights fall
+   with a gram's commonness in a bounded sample; grams the sample doesn't hold
+   weigh little, as edits make such grams. ROUTES of the slots' grams, the
+   rarest known ones first, are the node's routes.
+3. Routes deal the nodes out over shards by gram. In a shard each segment (the
+   nodes of a range of batches) is a navigable small-world graph: a node is
+   linked to the most similar of the nodes at power-of-two distances in its
+   gram's list. A new batch searches every segment, short lists whole and long
+   ones by a beam, then becomes a segment; neighbouring segments of like size
+   are compacted into one graph. Segments are stored (``HistoryIndex``).
+4. What the searches end with is decided exactly, by edit distance: lengths and
+   character counts give a lower bound of it, and the bit vectors of many pairs
+   go on together until it must exceed the allowed one. Each query's most
+   similar node comes first; the others follow where that one wasn't a repeat.
 
 BEAM, ENTRIES and LINKS are widened until the beams find what an exhaustive
-search of the shards finds (``recall_against_exhaustive``).
+search of the same lists finds (``exhaustive``).
 
 Null and blank contents are out; contents without letters or digits equal only
 each other's absence and give no rows; lists of fields and contents below
@@ -33,6 +37,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -41,24 +46,33 @@ from flashmill.llm.forms import digests, field_list_rows, form_codes, forms, spl
 from flashmill.llm.lines import line_ids
 from flashmill.llm.looks import looks
 from flashmill.operators.prefilter import maybe_in
-from flashmill.session import _hadoop_path, delete_path, materialize
+from flashmill.session import Versions, delete_at_exit, delete_path, materialize, shared_dir
 
 MIN_CHARS = 100
 MAX_EDITS = 0.2
+#: Texts the commonness of grams is fitted on, at most about; all rows are indexed.
 SAMPLE = 20_000
-TABLE_BITS = 20
+SAMPLE_BYTES = 200 << 20
+TABLE_BITS = 22
+#: Characters of a gram: of ideographs and kana, of other scripts.
+WIDE, NARROW = 3, 4
 SLOTS = 64
-#: Routing grams of a text: rare ones, ones that are rare among those other texts of the sample hold too, and ones by hash alone.
-RARE, KNOWN, ANY = 4, 2, 4
-#: Texts of the sample that hold a known gram.
-LEAST_KNOWN = 2
-ROUTES = RARE + KNOWN + ANY
-#: Routed entries in one shard, and nodes of one gram that stay together.
-SHARD_ENTRIES = 75_000
-HOT = 50_000
-BEAM, ENTRIES, LINKS, ROUNDS = 12, 8, 10, 8
-#: Slots in common that make a pair worth the exact comparison; of pairs with 19 % of single characters changed, 0.998 have them.
-LEAST_SHARED = 12
+ROUTES = 12
+#: Weight of a gram no sampled text holds; the others' is (1 + texts) ** -0.5.
+UNKNOWN = 0.02
+#: Routes: grams of up to KNOWN sampled texts are alike; an unknown gram ranks as if AS_KNOWN texts held it.
+KNOWN, AS_KNOWN = 16, 128
+#: A slot's gram counts with the part of the text it stands in, so that shared phrases elsewhere don't.
+PARTS = 6
+#: Routed entries in one shard.
+SHARD_ENTRIES = 100_000
+#: Lists up to SCAN are compared whole, longer ones by beams.
+SCAN = 256
+BEAM, ENTRIES, LINKS, ROUNDS = 12, 8, 8, 6
+#: A query's search of a shard ends with its WIDTH nodes of most slots in common.
+WIDTH = 8
+#: Slots in common from which a pair is compared exactly in any case; of pairs with fewer, LEAST_SHARED at least, a query's best one is.
+ALL_FROM, LEAST_SHARED = 14, 10
 #: Cells of a text's character counts; pairs whose distances are computed together, and characters of these.
 COUNTS = 64
 TOGETHER, TOGETHER_CHARS = 1024, 1 << 20
@@ -69,8 +83,8 @@ SURE = 58
 
 _MUL = np.uint64(0x9E3779B97F4A7C15)
 _B = np.uint64(0xD6E8FEB86659FD93)
-_B2, _B3, _B4 = (np.uint64(pow(0xD6E8FEB86659FD93, k, 1 << 64)) for k in (2, 3, 4))
-_FAR = np.float32(np.inf)
+_ONES = np.uint64(0x1111111111111111)
+_LOW = np.uint64((1 << TABLE_BITS) - 1)
 
 
 def uniq(x: np.ndarray) -> np.ndarray:
@@ -85,74 +99,82 @@ def _mix(x: np.ndarray) -> np.ndarray:
 
 
 def grams(codes: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(hash of the 4-gram, hash of the routing gram, document) at each place of documents of 8 characters or more.
-
-    The routing gram is the 4-gram where it starts with an ideograph or kana, else the 8-gram.
-    """
+    """(hash of the gram, document, place) at each place where a gram fits into its document."""
     c = _mix((codes.astype(np.uint64) + np.uint64(1)) * _MUL)
     n = len(c)
-    pad = np.concatenate([c, np.zeros(8, np.uint64)])
-    h4 = pad[: n + 4] * _B3 + pad[1 : n + 5] * _B2 + pad[2 : n + 6] * _B + pad[3 : n + 7]
-    long = h4[:n] * _B4 + h4[4 : n + 4]
-    h4 = h4[:n]
-    doc = owner(off)
-    left = off[1:][doc] - np.arange(n)
+    pad = np.concatenate([c, np.zeros(NARROW, np.uint64)])
+    h = pad[:n] * _B + pad[1 : n + 1]
+    h = h * _B + pad[2 : n + 2]
     wide = codes >= 0x2E80
-    route = np.where(wide, h4, long)
-    # the last places of a document, which would reach into the next: 8 from any end suffices for both lengths
-    ok = left >= 8
-    return _mix(h4[ok]), _mix(route[ok]), doc[ok]
+    h = np.where(wide, h, h * _B + pad[3 : n + 3])
+    size = np.diff(off)
+    place = np.arange(n) - np.repeat(off[:-1], size)
+    ok = np.repeat(size, size) - place >= np.where(wide, WIDE, NARROW)
+    return _mix(h[ok]), owner(off)[ok], place[ok]
+
+
+_CLASS = np.concatenate([[np.log2(AS_KNOWN)], np.maximum(np.log2(np.maximum(np.exp2(np.arange(1, 256) / 8) - 1, 1)), np.log2(KNOWN))]).astype(np.uint8)
+_DRAW = np.concatenate([[1 / UNKNOWN], np.exp2(np.arange(1, 256) / 16)]).astype(np.float32)
 
 
 def sketch(codes: np.ndarray, off: np.ndarray, common: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(signature, SLOTS half bytes in [n, SLOTS / 2], routing grams [n, ROUTES], 0 for none) of canonical documents."""
+    """(signature, SLOTS half bytes in uint64 [n, SLOTS / 16]; routing grams int64 [n, ROUTES], 0 for none) of canonical documents."""
     n = len(off) - 1
-    sig = np.full((n, SLOTS), 0xFFFFFFFF, np.uint32)
-    route = np.zeros((n, ROUTES), np.uint64)
-    h4, hr, doc = grams(codes, off)
-    if len(h4):
-        cell = doc * SLOTS + (h4 >> np.uint64(58)).astype(np.int64)
-        np.minimum.at(sig.reshape(-1), cell, (h4 & np.uint64(0xFFFFFFFF)).astype(np.uint32))
-        first = np.concatenate([[0], np.flatnonzero(np.diff(doc)) + 1])
-        whose = doc[first]
-        slot = np.cumsum(np.concatenate([[0], np.diff(doc) > 0]))
-        u = (hr >> np.uint64(40)).astype(np.float32) + 1
-        df = common[(hr & np.uint64((1 << TABLE_BITS) - 1)).astype(np.int64)]
-        other = ((hr * _MUL) >> np.uint64(40)).astype(np.float32) + 1
-        rare = u * (1 + df) ** 2
-        for score, k0, k in ((rare.copy(), 0, RARE), (np.where(df >= LEAST_KNOWN, rare, _FAR), RARE, KNOWN), (other, RARE + KNOWN, ANY)):
-            for r in range(k):
-                m = np.minimum.reduceat(score, first)
-                at = score == m[slot]
-                got = np.flatnonzero(at & (m[slot] < _FAR))
-                route[doc[got], k0 + r] = hr[got]
-                score[at] = _FAR
-    half = (sig * np.uint32(0x9E3779B1) >> np.uint32(28)).astype(np.uint8)
-    return half[:, ::2] << 4 | half[:, 1::2], route
+    h, doc, place = grams(codes, off)
+    best = np.full(n * SLOTS, np.inf, np.float32)
+    gram, part = np.zeros(n * SLOTS, np.uint64), np.zeros(n * SLOTS, np.uint64)
+    u = ((_mix(h * _MUL) >> np.uint64(40)).astype(np.float32) + np.float32(1)) * np.float32(2.0**-24)
+    draw = -np.log(u) * _DRAW[common[(h & _LOW).astype(np.int64)]]
+    cell = doc * SLOTS + (h >> np.uint64(58)).astype(np.int64)
+    np.minimum.at(best, cell, draw)
+    won = np.flatnonzero(best[cell] == draw)[::-1]  # of a gram that stands there twice, the first place
+    at = cell[won]
+    gram[at] = h[won]
+    part[at] = place[won] * PARTS // np.diff(off)[doc[won]]
+    gram, part = gram.reshape(n, SLOTS), part.reshape(n, SLOTS)
+    half = np.where(gram == 0, np.arange(SLOTS, dtype=np.uint64), _mix((gram + part) * _MUL)) & np.uint64(15)
+    sig = np.bitwise_or.reduce(half.reshape(n, SLOTS // 16, 16) << (np.arange(16, dtype=np.uint64) * np.uint64(4)), 2)
+    rank = np.where(gram == 0, 255, _CLASS[common[(gram & _LOW).astype(np.int64)]]).astype(np.int64) * SLOTS + np.arange(SLOTS)
+    order = np.argsort(rank, 1)[:, :ROUTES]
+    return sig, np.take_along_axis(gram, order, 1).view(np.int64)
 
 
 def commonness(contents: pa.Array) -> np.ndarray:
-    """Documents of a sample that hold a gram, by the gram's hash modulo the table size."""
+    """A byte per gram hash modulo the table size: 0 where no text of a sample holds the gram, else about 8 * log2(1 + texts that do)."""
     out = np.zeros(1 << TABLE_BITS, np.float32)
-    low = np.uint64((1 << TABLE_BITS) - 1)
     for a in range(0, len(contents), 500):  # the driver's memory
         codes, off = form_codes(*looks(expand_folds(contents.slice(a, 500))))
-        _, hr, doc = grams(codes, off)
-        key = uniq((doc.astype(np.uint64) << np.uint64(TABLE_BITS)) | (hr & low))
-        np.add.at(out, (key & low).astype(np.int64), 1)
-    return out
+        h, doc, _ = grams(codes, off)
+        key = uniq((doc.astype(np.uint64) << np.uint64(TABLE_BITS)) | (h & _LOW))
+        np.add.at(out, (key & _LOW).astype(np.int64), 1)
+    return np.rint(8 * np.log2(1 + out)).astype(np.uint8)
+
 
+class Packer:
+    """Canonical texts packed with a dictionary of sampled texts."""
 
-def _canon_batches(common: np.ndarray, spread: float):
+    def __init__(self, sample: bytes):
+        d = zstandard.ZstdCompressionDict(sample, dict_type=zstandard.DICT_TYPE_RAWCONTENT) if sample else None
+        self.out, self.into = zstandard.ZstdDecompressor(dict_data=d), zstandard.ZstdCompressor(level=3, dict_data=d)
+
+    def pack(self, texts: pa.Array) -> pa.Array:
+        return pa.array([None if x is None else self.into.compress(x.encode()) for x in texts.to_pylist()], pa.binary())
+
+    def unpack(self, packed: pa.Array) -> pa.Array:
+        return pa.array([None if x is None else self.out.decompress(x).decode() for x in packed.to_pylist()], pa.string())
+
+
+def _canon_batches(sample: bytes):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        packer = Packer(sample)
         for batch in batches:
             for part in pieces(batch, 2):
-                yield _canon(part, common, spread)
+                yield _canon(part, packer)
 
     return run
 
 
-def _canon(part: pa.RecordBatch, common: np.ndarray, spread: float) -> pa.RecordBatch:
+def _canon(part: pa.RecordBatch, packer: Packer) -> pa.RecordBatch:
     text, drop = part.column(2), part.column(3).to_pylist()
     if any(drop):
         ids, at = line_ids(text)
@@ -180,28 +202,10 @@ def _canon(part: pa.RecordBatch, common: np.ndarray, spread: float) -> pa.Record
             a += len(x)
             if any(mine):
                 keys[r] = digests(np.frombuffer(b"F".ljust(4) + b"".join(m.ljust(16, b"\0") for m in mine), np.uint32), np.array([0, 1 + 4 * len(mine)]))[0]
-    size = np.diff(off2)
-    long = (size >= MIN_CHARS) & ~listed
-    lc, lo = keep_rows(codes, off2, np.flatnonzero(long))
-    sig, route = sketch(lc, lo, common)
-    df = common[(route & np.uint64((1 << TABLE_BITS) - 1)).astype(np.int64)]
-    cells = np.maximum(np.ceil(df * spread / HOT), 1).astype(np.uint64)
-    # a gram of many nodes is split by a second gram that near texts share
-    second = _mix(route[:, RARE + KNOWN] * _B)[:, None] % cells
-    route = np.where(route == 0, 0, np.where(cells > 1, _mix(route + second * _MUL), route))
-    # columns of the long texts, spread over all rows with nulls between
-    k = int(long.sum())
+    long = (np.diff(off2) >= MIN_CHARS) & ~listed
     spot = pa.array(np.cumsum(long) - 1, pa.int64(), mask=~long)
-    sigs = pa.Array.from_buffers(pa.binary(), k, [None, pa.py_buffer(np.arange(k + 1, dtype=np.int32) * (SLOTS // 2)), pa.py_buffer(np.ascontiguousarray(sig))])
-    route = np.sort(route.view(np.int64), 1)
-    use = route != 0
-    use[:, 1:] &= route[:, 1:] != route[:, :-1]
-    at = np.concatenate([[0], np.cumsum(use.sum(1))]).astype(np.int32)
-    routes = pa.ListArray.from_arrays(pa.array(at), pa.array(route[use]))
-    return pa.RecordBatch.from_arrays(
-        [part.column(0), part.column(1), pa.array([x or None for x in keys], pa.binary()), sigs.take(spot), routes.take(spot), to_strings(lc, lo).take(spot)],
-        ["_id", "_batch", "_key", "_sig", "_route", "_text"],
-    )
+    texts = to_strings(*keep_rows(codes, off2, np.flatnonzero(long))).take(spot)
+    return pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array([x or None for x in keys], pa.binary()), packer.pack(texts)], ["_id", "_batch", "_key", "_text"])
 
 
 def keep_rows(codes: np.ndarray, off: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -212,198 +216,263 @@ def keep_rows(codes: np.ndarray, off: np.ndarray, rows: np.ndarray) -> tuple[np.
     return out, np.concatenate([[0], np.cumsum(np.diff(off)[rows])])
 
 
-class Shard:
-    """Nodes of a shard in order of batch and id, with the lists of nodes of each gram."""
-
-    def __init__(self, gram: np.ndarray, node: np.ndarray, batch: np.ndarray, sig: np.ndarray):
-        order = np.lexsort((node, batch))
-        gram, node, batch, sig = gram[order], node[order], batch[order], sig[order]
-        new = np.concatenate([[True], (node[1:] != node[:-1]) | (batch[1:] != batch[:-1])])
-        self.node, self.batch, sig = node[new], batch[new], sig[new]
-        self.sig = np.stack([sig >> 4, sig & 15], 2).reshape(len(sig), -1)
-        number = np.cumsum(new) - 1
-        _, g = np.unique(gram, return_inverse=True)
-        self.n = len(self.node)
-        self.key = uniq(g.astype(np.int64) * (self.n + 1) + number)  # lists one after another, each in node order
-        self.entry_gram, self.entry_node = self.key // (self.n + 1), self.key % (self.n + 1)
-        self.by_node = np.argsort(self.entry_node, kind="stable")
-        self.node_start = np.searchsorted(self.entry_node[self.by_node], np.arange(self.n + 1))
-
-    def shared(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        return (self.sig[a] == self.sig[b]).sum(-1, dtype=np.int16)
-
-    def build(self, lo: int, hi: int) -> np.ndarray:
-        """Links [hi - lo, LINKS] of the graph over nodes lo to hi; -1 pads."""
-        e = np.flatnonzero((self.entry_node >= lo) & (self.entry_node < hi))
-        a, b = [], []
-        step = 1
-        while step < max(hi - lo, 2) and step <= 1 << 12:
-            x, y = e[:-step], e[step:]
-            # entries of the segment stand together within a list
-            same = self.entry_gram[x] == self.entry_gram[y] if len(x) else np.zeros(0, bool)
-            if not same.any():
+def _entry_batches(common: np.ndarray, sample: bytes, shards: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        packer = Packer(sample)
+        for batch in batches:
+            for part in pieces(batch, 2, 1 << 19):
+                codes, off = to_codes(packer.unpack(part.column(2)))
+                sig, route = sketch(codes, off, common)
+                route = np.sort(route, 1)
+                use = route != 0
+                use[:, 1:] &= route[:, 1:] != route[:, :-1]
+                row, gram = np.nonzero(use)[0], route[use]
+                packed = pa.Array.from_buffers(pa.binary(), len(sig), [None, pa.py_buffer(np.arange(len(sig) + 1, dtype=np.int32) * (SLOTS // 2)), pa.py_buffer(np.ascontiguousarray(sig))])
+                shard = (_mix(gram.view(np.uint64)) % np.uint64(shards)).astype(np.int32)
+                at = pa.array(row)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(shard), pa.array(gram), part.column(0).take(at), part.column(1).take(at), packed.take(at), pa.array(np.diff(off).astype(np.int32)).take(at)],
+                    ["_shard", "_gram", "_node", "_batch", "_sig", "_size"],
+                )
+
+    return run
+
+
+def shared(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Half bytes that two signatures have in common."""
+    x = a ^ b
+    x |= x >> np.uint64(1)
+    x |= x >> np.uint64(2)
+    return SLOTS - np.bitwise_count(x & _ONES).sum(-1, dtype=np.int16)
+
+
+def _spans(a: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """The numbers from each a, n of them."""
+    return np.repeat(a - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+
+
+class Segment:
+    """The graph over a shard's nodes of batches lo to hi: nodes, links, and the list of nodes of each gram."""
+
+    def __init__(self, lo: int, hi: int, node: np.ndarray, batch: np.ndarray, sig: np.ndarray, size: np.ndarray, gram: np.ndarray, who: np.ndarray, links: np.ndarray | None = None):
+        self.lo, self.hi, self.node, self.batch, self.sig, self.size, self.gram, self.who = lo, hi, node, batch, sig, size, gram, who
+        self.links = self._build() if links is None else links
+
+    @classmethod
+    def of(cls, lo: int, hi: int, gram: np.ndarray, node: np.ndarray, batch: np.ndarray, sig: np.ndarray, size: np.ndarray) -> Segment:
+        """From entries, a row for each gram of a node."""
+        ids, row, who = np.unique(node, return_index=True, return_inverse=True)
+        sig = np.ascontiguousarray(sig[row])
+        order = np.lexsort((sig[who, 0], gram))  # like nodes stand together in a list
+        return cls(lo, hi, ids, batch[row], sig, size[row], gram[order], who[order].astype(np.int32))
+
+    @classmethod
+    def compact(cls, a: Segment, b: Segment) -> Segment:
+        at = [np.concatenate(x) for x in zip(*((s.gram, s.node[s.who], s.batch[s.who], s.sig[s.who], s.size[s.who]) for s in (a, b)))]
+        return cls.of(min(a.lo, b.lo), max(a.hi, b.hi), *at)
+
+    def _build(self) -> np.ndarray:
+        """Links [nodes, LINKS] between nodes of long lists; -1 pads."""
+        n = len(self.node)
+        links = np.full((n, LINKS), -1, np.int32)
+        _, size = np.unique(self.gram, return_counts=True)
+        e = np.flatnonzero(np.repeat(size, size) > SCAN)
+        gram, who = self.gram[e], self.who[e].astype(np.int64)
+        xs, ys, step = [], [], 1
+        while step < len(e) and step <= 1 << 14:
+            same = np.flatnonzero(gram[:-step] == gram[step:])
+            if not len(same):
                 break
-            a.append(self.entry_node[x[same]])
-            b.append(self.entry_node[y[same]])
+            xs.append(who[same])
+            ys.append(who[same + step])
             step *= 2
-        links = np.full((hi - lo, LINKS), -1, np.int64)
-        if not a:
+        if not xs:
             return links
-        pair = uniq(np.concatenate(a) * (self.n + 1) + np.concatenate(b))
-        x, y = pair // (self.n + 1), pair % (self.n + 1)
-        s = self.shared(x, y)
+        x, y = np.concatenate(xs), np.concatenate(ys)
+        s = shared(self.sig[x], self.sig[y]).astype(np.int64)
         src, dst, s = np.concatenate([x, y]), np.concatenate([y, x]), np.concatenate([s, s])
-        order = np.lexsort((dst, -s, src))
-        src, dst = src[order], dst[order]
-        first = np.searchsorted(src, np.arange(lo, hi))
-        rank = np.arange(len(src)) - first[src - lo]
+        key = uniq((src * (SLOTS + 1) + SLOTS - s) * n + dst)  # by node, the most similar first
+        src, dst = key // n // (SLOTS + 1), key % n
+        rank = np.arange(len(src)) - np.searchsorted(src, src)
         ok = rank < LINKS
-        links[src[ok] - lo, rank[ok]] = dst[ok]
+        links[src[ok], rank[ok]] = dst[ok]
         return links
 
-    def search(self, q: np.ndarray, lo: int, hi: int, links: np.ndarray, beam: int = BEAM) -> tuple[np.ndarray, np.ndarray]:
-        """All (query, node) pairs the beams end with that have at least LEAST_SHARED slots in common."""
-        count = self.node_start[q + 1] - self.node_start[q]
-        who = np.repeat(q, count)
-        ent = self.by_node[np.repeat(self.node_start[q], count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)]
-        g = self.entry_gram[ent]
-        a, b = np.searchsorted(self.key, g * (self.n + 1) + lo), np.searchsorted(self.key, g * (self.n + 1) + hi)
-        live = b > a
-        who, a, b = who[live], a[live], b[live]
-        if not len(who):
-            return who, who
-        # entry points: the newest nodes of the list, the oldest, and some between
-        near = np.stack([b - 1 - i for i in range(ENTRIES // 2)] + [a + (b - a) * i // (ENTRIES // 2) for i in range(ENTRIES // 2)], 1)
-        near = np.clip(near, a[:, None], (b - 1)[:, None])
-        start = self.entry_node[near]
-        out_q, out_p = [], []
-        small = (b - a) <= ENTRIES // 2
-        out_q.append(np.repeat(who[small], ENTRIES // 2))
-        out_p.append(start[small, : ENTRIES // 2].ravel())
-        rest = np.flatnonzero(~small)
-        for cut in range(0, len(rest), 20_000):
-            r = rest[cut : cut + 20_000]
-            qq, pp = self._beam(who[r], start[r], lo, links, beam)
-            out_q.append(qq)
-            out_p.append(pp)
-        qs, ps = np.concatenate(out_q), np.concatenate(out_p)
-        pair = uniq(qs * (self.n + 1) + ps)
-        qs, ps = pair // (self.n + 1), pair % (self.n + 1)
-        s = self.shared(qs, ps)
+    def search(self, other: Segment, exhaustive: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(node of the other segment, node here, slots in common) of pairs with LEAST_SHARED slots at least and lengths within MAX_EDITS."""
+        gram, q, sig = other.gram, other.who.astype(np.int64), other.sig
+        a, b = np.searchsorted(self.gram, gram, "left"), np.searchsorted(self.gram, gram, "right")
+        size = b - a
+        out = [np.zeros((3, 0), np.int64)]
+        short = np.flatnonzero((size > 0) & (exhaustive | (size <= SCAN)))
+        ends = np.cumsum(size[short])
+        for lo, hi in _cuts(ends, 1 << 20):
+            i = short[lo:hi]
+            out.append(self._pairs(np.repeat(q[i], size[i]), self.who[_spans(a[i], size[i])], sig))
+        if not exhaustive:
+            far = np.flatnonzero(size > SCAN)
+            for cut in range(0, len(far), 10_000):
+                i = far[cut : cut + 10_000]
+                start = a[i][:, None] + ((size[i][:, None] - 1) * np.linspace(0, 1, ENTRIES // 2)).astype(np.int64)
+                # and the list's place where the query itself would stand
+                x, y, own = a[i].copy(), b[i].copy(), sig[q[i], 0]
+                while (x < y).any():
+                    m = (x + y) // 2
+                    less = (x < y) & (self.sig[self.who[np.minimum(m, len(self.who) - 1)], 0] < own)
+                    x, y = np.where(less, m + 1, x), np.where(less | (x >= y), y, m)
+                near = np.clip(x[:, None] + np.arange(-(ENTRIES // 4), ENTRIES // 4), a[i][:, None], b[i][:, None] - 1)
+                out.append(self._beam(q[i], self.who[np.concatenate([near, start], 1)].astype(np.int64), sig))
+        q, p, s = np.concatenate(out, 1)
+        m, n = other.size[q], self.size[p]
+        ok = np.abs(m - n) <= MAX_EDITS * np.maximum(m, n) + 1e-9
+        return q[ok], p[ok], s[ok]
+
+    def _pairs(self, q: np.ndarray, p: np.ndarray, sig: np.ndarray) -> np.ndarray:
+        s = shared(sig[q], self.sig[p])
         ok = s >= LEAST_SHARED
-        return qs[ok], ps[ok]
+        return np.stack([q[ok], p[ok], s[ok]]).astype(np.int64)
 
-    def _beam(self, who: np.ndarray, start: np.ndarray, lo: int, links: np.ndarray, beam: int) -> tuple[np.ndarray, np.ndarray]:
+    def _beam(self, who: np.ndarray, cand: np.ndarray, sig: np.ndarray) -> np.ndarray:
         rows = len(who)
-        ids = np.full((rows, beam), -1, np.int64)
-        sims = np.full((rows, beam), -1, np.int16)
-        done = np.ones((rows, beam), bool)
-        cand = start
+        ids, sims = np.full((rows, BEAM), -1, np.int64), np.full((rows, BEAM), -1, np.int16)
+        done = np.ones((rows, BEAM), bool)
         act = np.arange(rows)
         for _ in range(ROUNDS + 1):
-            q, own, n = who[act], ids[act], len(act)
-            s = self.shared(q[:, None], np.maximum(cand, 0))
-            pos = np.argsort(cand, 1, kind="stable")
-            srt = np.take_along_axis(cand, pos, 1)
-            dup = np.zeros(cand.shape, bool)
-            np.put_along_axis(dup, pos[:, 1:], srt[:, 1:] == srt[:, :-1], 1)
-            s[(cand[:, :, None] == own[:, None, :]).any(2) | dup | (cand < 0)] = -1
-            ids2, sims2 = np.concatenate([own, cand], 1), np.concatenate([sims[act], s], 1)
-            done2 = np.concatenate([done[act], np.zeros(cand.shape, bool)], 1)
-            top = np.argsort(-sims2, 1, kind="stable")[:, :beam]
-            own, sim, fin = (np.take_along_axis(x, top, 1) for x in (ids2, sims2, done2))
-            own = np.where(sim < 0, -1, own)
+            own, n = ids[act], len(act)
+            s = shared(sig[who[act]][:, None], self.sig[np.maximum(cand, 0)])
+            s[cand < 0] = -1
+            # of equal candidates the one that is done comes first
+            all_, sim, fin = np.concatenate([own, cand], 1), np.concatenate([sims[act], s], 1), np.concatenate([done[act], np.zeros(cand.shape, bool)], 1)
+            top = np.argsort(-(sim.astype(np.int64) << 40 | np.maximum(all_, 0) << 1 | fin), 1, kind="stable")
+            all_, sim, fin = (np.take_along_axis(x, top, 1) for x in (all_, sim, fin))
+            twice = np.zeros(all_.shape, bool)
+            twice[:, 1:] = all_[:, 1:] == all_[:, :-1]
+            sim[twice] = -1
+            top = np.argsort(-sim, 1, kind="stable")[:, :BEAM]
+            own, sim, fin = (np.take_along_axis(x, top, 1) for x in (all_, sim, fin))
+            own[sim < 0] = -1
             open_ = ~fin & (own >= 0)
-            pick = np.argmax(np.where(open_, sim, -1), 1)
-            fin[np.arange(n), pick] = True
+            rank = np.cumsum(open_, 1)
+            two = open_ & (rank <= 2)
+            fin |= two
             ids[act], sims[act], done[act] = own, sim, fin
             go = open_.any(1) & (sim[:, 0] < SURE)
             if not go.any():
                 break
-            cand = links[own[np.arange(n), pick][go] - lo]
+            first = np.argmax(two, 1)
+            second = np.where(rank[:, -1] >= 2, two.shape[1] - 1 - np.argmax(two[:, ::-1], 1), first)
+            line = np.arange(n)[go]
+            cand = np.concatenate([self.links[own[line, first[go]]], self.links[own[line, second[go]]]], 1).astype(np.int64)
             act = act[go]
-        ok = ids >= 0
-        return np.repeat(who, beam)[ok.ravel()], ids.ravel()[ok.ravel()]
+        ok = sims >= LEAST_SHARED
+        return np.stack([np.repeat(who, BEAM)[ok.ravel()], ids[ok], sims[ok].astype(np.int64)])
+
+    def pack(self) -> bytes:
+        n, m = len(self.node), len(self.gram)
+        linked = np.flatnonzero((self.links >= 0).any(1)).astype(np.int32)
+        head = np.array([self.lo, self.hi, n, m, len(linked)], np.int64)
+        flat = (head, self.node.astype(np.int64), self.batch.astype(np.int64), self.sig, self.size.astype(np.int32), self.gram, self.who, linked, self.links[linked])
+        return zstandard.compress(b"".join(np.ascontiguousarray(x).tobytes() for x in flat), 1)
+
+    @classmethod
+    def unpack(cls, blob: bytes) -> Segment:
+        raw = zstandard.decompress(blob)
+        lo, hi, n, m, k = np.frombuffer(raw, np.int64, 5).tolist()
+        at, got = 40, []
+        for kind, count in ((np.int64, n), (np.int64, n), (np.uint64, n * SLOTS // 16), (np.int32, n), (np.int64, m), (np.int32, m), (np.int32, k), (np.int32, k * LINKS)):
+            got.append(np.frombuffer(raw, kind, count, at))
+            at += count * np.dtype(kind).itemsize
+        links = np.full((n, LINKS), -1, np.int32)
+        links[got[6]] = got[7].reshape(k, LINKS)
+        return cls(lo, hi, got[0], got[1], got[2].reshape(n, -1), got[3], got[4], got[5], links)
+
+
+def _cuts(ends: np.ndarray, limit: int) -> list[tuple[int, int]]:
+    """Ranges of items whose sizes, with these running sums, come to about limit."""
+    if not len(ends):
+        return []
+    at = np.unique(np.searchsorted(ends, np.arange(limit, ends[-1] + limit, limit), "left") + 1).tolist()
+    at = [0, *[x for x in at if x < len(ends)], len(ends)]
+    return list(zip(at[:-1], at[1:]))
+
+
+def live(segments: list[Segment]) -> list[Segment]:
+    """The segments in force: those no compacted one covers, oldest first."""
+    out: list[Segment] = []
+    for s in sorted(segments, key=lambda s: (s.lo, -s.hi)):
+        if not out or s.hi > out[-1].hi:
+            out.append(s)
+    return out
 
-    def replay(self, exhaustive: bool = False, since: int | None = None) -> tuple[np.ndarray, np.ndarray]:
-        """(later node, earlier node) over all batches: each searches the segments before it, then becomes one.
 
-        since: only batches from this one on search.
-        """
-        cuts = np.concatenate([[0], np.flatnonzero(np.diff(self.batch)) + 1, [self.n]]).tolist()
-        segments: list[tuple[int, int, np.ndarray]] = []
-        qs, ps = [], []
-        for lo, hi in zip(cuts[:-1], cuts[1:]):
-            q = np.arange(lo, hi)
-            for a, b, links in segments if since is None or self.batch[lo] >= since else []:
-                x, y = self.search(q, a, b, links) if not exhaustive else self._all(q, a, b)
-                qs.append(x)
-                ps.append(y)
-            a = lo
-            while segments and segments[-1][1] - segments[-1][0] <= 2 * (hi - a):  # compaction
-                a = segments.pop()[0]
-            if hi < self.n:
-                segments.append((a, hi, self.build(a, hi)))
-        empty = np.zeros(0, np.int64)
-        return np.concatenate([empty, *qs]), np.concatenate([empty, *ps])
-
-    def _all(self, q: np.ndarray, lo: int, hi: int) -> tuple[np.ndarray, np.ndarray]:
-        out = [(np.full(hi - lo, i), np.arange(lo, hi)) for i in q.tolist()]
-        x, y = (np.concatenate(c) for c in zip(*out))
-        ok = self.shared(x, y) >= LEAST_SHARED
-        return x[ok], y[ok]
-
-
-def _search_shard(since: int | None):
-    def run(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        t = pa.Table.from_batches(list(batches))
-        col = lambda c: t.column(c).to_numpy()
-        sig = np.frombuffer(b"".join(t.column("_sig").to_pylist()), np.uint8).reshape(-1, SLOTS // 2)
-        shard = Shard(col("_gram"), col("_node"), col("_first"), sig)
-        q, p = shard.replay(since=since)
-        if len(q):
-            ids, row = np.unique(col("_node"), return_index=True)
-            texts = t.column("_text").take(pa.array(row)).combine_chunks()
-            x, y = np.searchsorted(ids, shard.node[q]), np.searchsorted(ids, shard.node[p])
-            ok = close_pairs(texts, x, y, shard.shared(q, p))
-            q, p = q[ok], p[ok]
-        yield pa.RecordBatch.from_arrays([pa.array(shard.node[q]), pa.array(shard.batch[p])], ["_q", "_pb"])
+def best(q: np.ndarray, p: np.ndarray, s: np.ndarray) -> np.ndarray:
+    """Places of the pairs a search ends with: of each query WIDTH with ALL_FROM slots in common, or else its best one."""
+    order = np.lexsort((p, -s, q))
+    q, p, s = q[order], p[order], s[order]
+    new = np.concatenate([[True], (np.diff(q) != 0) | (np.diff(p) != 0)])[: len(q)]  # a pair can come from several grams
+    order, q, s = order[new], q[new], s[new]
+    rank = np.arange(len(q)) - np.searchsorted(q, q)
+    return order[(rank == 0) | ((rank < WIDTH) & (s >= ALL_FROM))]
 
-    return run
 
+def feed(segments: list[Segment], gram: np.ndarray, node: np.ndarray, batch: np.ndarray, sig: np.ndarray, size: np.ndarray, exhaustive: bool = False) -> tuple[np.ndarray, list[Segment]]:
+    """(pairs [later node, earlier node, its batch, slots in common], segments) after batch upon batch searched the segments before it and became one.
 
-def fit(texts: DataFrame, column: str, id_col: str) -> tuple[np.ndarray, float]:
-    """(commonness of grams, rows per sampled row) from at most about SAMPLE texts, picked by a hash of their id."""
-    total = texts.count()
-    part = texts.filter(F.pmod(F.xxhash64(id_col), F.lit(max(1, math.ceil(total / SAMPLE)))) == 0).select(column).filter(F.col(column).isNotNull())
+    Compaction: a new segment takes in the last ones up to twice its size.
+    """
+    order = np.argsort(batch, kind="stable")
+    gram, node, batch, sig, size = gram[order], node[order], batch[order], sig[order], size[order]
+    cuts = np.concatenate([[0], np.flatnonzero(np.diff(batch)) + 1, [len(batch)]]).tolist() if len(batch) else []
+    segments, pairs = list(segments), [np.zeros((4, 0), np.int64)]
+    for a, b in zip(cuts[:-1], cuts[1:]):
+        new = Segment.of(int(batch[a]), int(batch[a]) + 1, gram[a:b], node[a:b], batch[a:b], sig[a:b], size[a:b])
+        got = [np.zeros((4, 0), np.int64)]
+        for s in segments:
+            q, p, n = s.search(new, exhaustive)
+            got.append(np.stack([new.node[q], s.node[p], s.batch[p], n]))
+        got = np.concatenate(got, 1)
+        pairs.append(got if exhaustive else got[:, best(got[0], got[1], got[3])])
+        while segments and len(segments[-1].gram) <= 2 * len(new.gram):
+            new = Segment.compact(segments.pop(), new)
+        segments.append(new)
+    return np.concatenate(pairs, 1), segments
+
+
+_SHARD_OUT = "_shard int, _q long, _p long, _pb long, _s int, _lo long, _hi long, _graph binary"
+
+
+def _first_feed(key: tuple, entries: pa.Table) -> pa.Table:
+    return _feed_shard(key, entries, None)
+
+
+def _feed_shard(key: tuple, entries: pa.Table, stored: pa.Table | None) -> pa.Table:
+    old = live([Segment.unpack(x) for x in stored.column("_graph").to_pylist()]) if stored is not None else []
+    col = lambda c: entries.column(c).to_numpy()
+    sig = np.frombuffer(b"".join(entries.column("_sig").to_pylist()), np.uint64).reshape(-1, SLOTS // 16)
+    pairs, segments = feed(old, col("_gram"), col("_node"), col("_batch"), sig, col("_size"))
+    fresh = [s for s in segments if not any(s is o for o in old)]
+    k, g = pairs.shape[1], len(fresh)
+    none = lambda n, kind: pa.nulls(n, kind)
+    both = lambda a, b, kind: pa.chunked_array([pa.array(a).cast(kind) if a is not None else none(k, kind), pa.array(b, kind) if b is not None else none(g, kind)])
+    cols = [
+        both(np.full(k, key[0].as_py()), [key[0].as_py()] * g, pa.int32()), both(pairs[0], None, pa.int64()), both(pairs[1], None, pa.int64()), both(pairs[2], None, pa.int64()), both(pairs[3], None, pa.int32()),
+        both(None, [s.lo for s in fresh], pa.int64()), both(None, [s.hi for s in fresh], pa.int64()), both(None, [s.pack() for s in fresh], pa.binary()),
+    ]
+    return pa.Table.from_arrays(cols, ["_shard", "_q", "_p", "_pb", "_s", "_lo", "_hi", "_graph"])
+
+
+def fit(texts: DataFrame, column: str, id_col: str) -> tuple[np.ndarray, bytes]:
+    """(commonness of grams, dictionary for packing) from at most about SAMPLE texts and SAMPLE_BYTES, picked by a hash of their id."""
+    total, size = texts.agg(F.count(F.lit(1)), F.sum(F.octet_length(column))).first()
+    one_in = max(1, math.ceil(total / SAMPLE), math.ceil((size or 0) / SAMPLE_BYTES))
+    part = texts.filter((F.pmod(F.xxhash64(id_col), F.lit(one_in)) == 0) & (F.octet_length(column) <= SAMPLE_BYTES)).select(column).filter(F.col(column).isNotNull())
     got = part.toArrow().column(0).combine_chunks()
     got = pa.concat_arrays(got.chunks) if isinstance(got, pa.ChunkedArray) else got
-    common = commonness(got.slice(0, 2 * SAMPLE)) if len(got) else np.zeros(1 << TABLE_BITS, np.float32)
-    return common, total / max(1, len(got))
-
-
-def canonical_rows(src: DataFrame, common: np.ndarray, spread: float) -> DataFrame:
-    """Written table of _id, _batch, _key and, for texts long enough, _sig, _route, _text; src: _id, _batch, _c, _drop."""
-    rows = src.select("_id", "_batch", "_c", "_drop").mapInArrow(_canon_batches(common, spread), "_id long, _batch long, _key binary, _sig binary, _route array<long>, _text string")
-    return materialize(rows.filter("_key is not null"), "canon")
-
-
-def nodes_of(rows: DataFrame) -> DataFrame:
-    """One row per distinct text: its first batch, the smallest id there, its sketch, and its rows."""
-    nodes = rows.groupBy("_key").agg(F.min(F.struct("_batch", "_id")).alias("_m"), *(F.first(c).alias(c) for c in ("_sig", "_route", "_text")), F.count(F.lit(1)).alias("_n"))
-    return materialize(nodes.select("_key", F.col("_m._batch").alias("_first"), F.col("_m._id").alias("_node"), "_sig", "_route", "_text", "_n"), "nodes")
-
-
-def routed(nodes: DataFrame) -> DataFrame:
-    return nodes.filter("_sig is not null").select(F.explode("_route").alias("_gram"), "_node", "_first", "_sig", "_text")
-
-
-def near_nodes(entries: DataFrame, n_entries: int, since: int | None = None) -> DataFrame:
-    """Written table of _node, _near: a batch of a text within MAX_EDITS that the beams find, shard by shard."""
-    shards = max(1, math.ceil(n_entries / SHARD_ENTRIES))
-    dealt = entries.withColumn("_shard", F.pmod(F.xxhash64("_gram"), F.lit(shards)))
-    pairs = dealt.groupBy("_shard").applyInArrow(_search_shard(since), "_q long, _pb long")
-    return materialize(pairs.groupBy(F.col("_q").alias("_node")).agg(F.min("_pb").alias("_near")), "near")
+    if not len(got):
+        return np.zeros(1 << TABLE_BITS, np.uint8), b""
+    common = commonness(got)
+    some = to_strings(*form_codes(*looks(expand_folds(got.slice(0, 400))))).to_pylist()
+    return common, "".join(some).encode()[: 1 << 16]
 
 
 def within(a: str, b: str, k: int) -> bool:
@@ -521,157 +590,197 @@ def _together(codes: np.ndarray, a: np.ndarray, m: np.ndarray, b: np.ndarray, n:
     return out
 
 
-def close_pairs(texts: pa.Array, x: np.ndarray, y: np.ndarray, shared: np.ndarray) -> np.ndarray:
-    """Places of pairs of texts within MAX_EDITS; of each x only the first found, those with more slots in common being tried first."""
+def close_pairs(texts: pa.Array, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Places of the pairs of texts within MAX_EDITS."""
     codes, off = to_codes(texts)
     size = np.diff(off)
     cell = owner(off) * COUNTS + (_mix(codes.astype(np.uint64) * _MUL) >> np.uint64(58)).astype(np.int64)
     counts = np.minimum(np.bincount(cell, minlength=len(size) * COUNTS), 32_000).astype(np.int16).reshape(-1, COUNTS)
     k = (MAX_EDITS * np.maximum(size[x], size[y]) + 1e-9).astype(np.int64)
-    may = np.flatnonzero(np.abs(size[x] - size[y]) <= k)
-    keep_ = [np.zeros(0, np.int64)]
-    for cut in range(0, len(may), 100_000):
-        i = may[cut : cut + 100_000]
-        diff = counts[x[i]].astype(np.int32) - counts[y[i]]
-        up = np.maximum(diff, 0).sum(1)
-        keep_.append(i[np.maximum(up, up - diff.sum(1)) <= k[i]])
-    i = np.concatenate(keep_)
-    i = i[np.lexsort((-shared[i], x[i]))]
-    rank = np.arange(len(i)) - np.searchsorted(x[i], x[i])
-    found, done = [np.zeros(0, np.int64)], np.zeros(len(size), bool)
-    for lo, hi in ((0, 1), (1, 4), (4, len(i) + 1)):
-        r = i[(rank >= lo) & (rank < hi)]
-        r = r[~done[x[r]]]
-        r = r[within_many(codes, off, x[r], y[r], k[r])]
-        done[x[r]] = True
-        found.append(r)
-    return np.concatenate(found)
+    diff = counts[x].astype(np.int32) - counts[y]
+    up = np.maximum(diff, 0).sum(1)
+    i = np.flatnonzero((np.abs(size[x] - size[y]) <= k) & (np.maximum(up, up - diff.sum(1)) <= k))
+    return i[within_many(codes, off, x[i], y[i], k[i])]
+
+
+def _compare_batches(sample: bytes):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        packer = Packer(sample)
+        for batch in batches:
+            for part in pieces(batch, 2, 1 << 20):
+                n = part.num_rows
+                texts = packer.unpack(pa.concat_arrays([part.column(2), part.column(3)]))
+                ok = close_pairs(texts, np.arange(n), np.arange(n) + n)
+                yield part.select([0, 1]).take(pa.array(ok))
+
+    return run
+
+
+def decide(pairs: DataFrame, texts: DataFrame, n_pairs: int, sample: bytes) -> DataFrame:
+    """Written table of _q, _pb: the pairs (_q, _p, _pb) whose texts are within MAX_EDITS."""
+    ends = pairs.select(F.explode(F.array("_q", "_p")).alias("_node"))
+    texts = materialize(maybe_in(texts, "_node", ends, "_node", 2 * n_pairs), "texts")
+    j = pairs.join(texts.select(F.col("_node").alias("_p"), F.col("_text").alias("_tp")), "_p")
+    j = j.join(texts.select(F.col("_node").alias("_q"), F.col("_text").alias("_tq")), "_q")
+    return materialize(j.select("_q", "_pb", "_tq", "_tp").mapInArrow(_compare_batches(sample), "_q long, _pb long"), "decided")
 
 
 def _source_rows(news: DataFrame, drop: DataFrame | None, id_col: str, batch, source: str, text: str) -> DataFrame:
     src = news.select(F.col(id_col).cast("long").alias("_id"), batch.cast("long").alias("_batch"), F.col(text).alias("_c"), F.col(source).alias("_source"))
     src = src.filter(F.regexp_replace("_c", r"(?U)\s+", "") != "")
-    return src.withColumn("_drop", F.lit(None).cast("array<long>")) if drop is None else src.join(drop, "_source", "left")
+    # a row per source, whose lines each stand in a tenth of its rows
+    return src.withColumn("_drop", F.lit(None).cast("array<long>")) if drop is None else src.join(F.broadcast(drop), "_source", "left")
 
 
-def find_repeats(news: DataFrame, drop: DataFrame | None, id_col: str = "seq", batch: str = "batch_no", source: str = "source", text: str = "content") -> DataFrame:
-    """id of each row whose text repeats one of a lower batch: all batches replayed at once.
+class HistoryIndex:
+    """Index of all accepted batches in a folder all executors share; a batch is checked without reprocessing history.
 
-    drop: _source, _drop (identifiers of lines to leave out), or none.
+    ``nodes-*`` hold the distinct texts with their keys, ``graphs-*`` the
+    segments of each shard: nodes, signatures, lists and links. ``add`` sends
+    the new texts' routes to their shards, opens the stored segments of those
+    shards only, searches them, and writes the shards' new segments; graphs are
+    rebuilt only where segments are compacted (``feed``). After MAX_PARTS tables
+    of graphs, ``vacuum`` rewrites the segments in force, over twice as many
+    shards where they have grown too large. A version of the state names the
+    tables in force; it comes into force by one exclusive creation after all else
+    is written, so a run that dies leaves the index as it was and can be
+    repeated. The commonness of grams is fitted on the first call.
     """
-    src = _source_rows(news, drop, id_col, F.col(batch), source, text)
-    total = news.count()
-    common, spread = fit(src, "_c", "_id")
-    rows = canonical_rows(src, common, spread)
-    nodes = nodes_of(rows)
-    near = near_nodes(routed(nodes), total * ROUTES)
-    known = nodes.select("_key", "_node", "_first", "_n").join(near, "_node", "left")
-    known = known.select("_key", F.least("_first", "_near").alias("_since"), "_first", "_n")
-    known = materialize(known.filter((F.col("_n") > 1) | (F.col("_since") < F.col("_first"))), "known")
-    return _later(rows.select("_id", "_batch", "_key"), known, total).select(F.col("_id").alias(id_col))
 
+    MAX_PARTS = 8
 
-class HistoryIndex:
-    """Index of all accepted batches in a folder all executors share; a batch is checked without reprocessing history.
+    def __init__(self, spark, path: str, shard_entries: int = SHARD_ENTRIES):
+        self.spark, self.path, self.shard_entries = spark, path.rstrip("/"), shard_entries
+        self.versions = Versions(spark, self.path)
 
-    Each batch adds one segment: the sketches and canonical texts of its new
-    distinct texts. A check reads the sketches whose grams the batch holds, and
-    the texts of the pairs the beams find. When there are more than
-    MAX_SEGMENTS, the smaller half is rewritten as one (compaction). ``CURRENT``
-    names the segments in force; it is replaced after a segment is written, so a
-    run that dies leaves the index as it was. The commonness of grams is fitted
-    on the first batch.
-    """
+    def _new(self, kind: str) -> str:
+        return f"{kind}-{uuid.uuid4().hex}"
 
-    MAX_SEGMENTS = 8
-
-    def __init__(self, spark, path: str):
-        self.spark, self.path = spark, path.rstrip("/")
-
-    def _file(self, name: str):
-        return _hadoop_path(self.spark, f"{self.path}/{name}")
-
-    def _read(self) -> dict | None:
-        fs, p = self._file("CURRENT")
-        return json.loads(self.spark.read.text(f"{self.path}/CURRENT", wholetext=True).first()[0]) if fs.exists(p) else None
-
-    def _write(self, state: dict) -> None:
-        fs, cur = self._file("CURRENT")
-        _, new = self._file(f"CURRENT-{uuid.uuid4().hex}")
-        out = fs.create(new, True)
-        out.write(bytearray(json.dumps(state).encode()))
-        out.close()
-        if fs.exists(cur):
-            fs.delete(cur, False)
-        if not fs.rename(new, cur):
-            raise OSError(f"{self.path}: the new state could not be put in force")
-
-    def _segments(self, state: dict) -> DataFrame | None:
-        return self.spark.read.parquet(*[f"{self.path}/{s}" for s, _ in state["segments"]]) if state["segments"] else None
-
-    def add(self, batch: DataFrame, drop: DataFrame | None = None, id_col: str = "seq", source: str = "source", text: str = "content") -> DataFrame:
-        """id of each row of the batch that repeats history; the batch's other texts become history. Ids are unique over all batches."""
-        state = self._read()
-        src = _source_rows(batch, drop, id_col, F.lit(state["batches"] if state else 0), source, text)
-        if state is None:
-            common, spread = fit(src, "_c", "_id")
-            self.spark.createDataFrame([(i, float(v)) for i, v in enumerate(common.tolist()) if v], "i int, n float").coalesce(1).write.parquet(f"{self.path}/commonness-{uuid.uuid4().hex}")
-            state = {"batches": 0, "segments": [], "spread": spread}
-        else:
-            common = np.zeros(1 << TABLE_BITS, np.float32)
-            fs, p = self._file("")
-            name = next(x.getPath().getName() for x in fs.listStatus(p) if x.getPath().getName().startswith("commonness-"))
-            t = self.spark.read.parquet(f"{self.path}/{name}").toArrow()
-            common[t.column(0).to_numpy()] = t.column(1).to_numpy()
-        rows = canonical_rows(src, common, state["spread"])
-        nodes = nodes_of(rows)
-        history = self._segments(state)
-        if history is None:
-            found = rows.select("_id").limit(0)
-            fresh = nodes
+    def _write(self, df: DataFrame, kind: str) -> str:
+        name = self._new(kind)
+        df.write.option("compression", "zstd").parquet(f"{self.path}/{name}")
+        return name
+
+    def _read(self, names: list[str]) -> DataFrame:
+        return self.spark.read.parquet(*[f"{self.path}/{x}" for x in names])
+
+    def _fitted(self, name: str) -> tuple[np.ndarray, bytes]:
+        row = self._read([name]).first()
+        return np.frombuffer(bytes(row["common"]), np.uint8), bytes(row["sample"])
+
+    def add(self, news: DataFrame, drop: DataFrame | None = None, id_col: str = "seq", source: str = "source", text: str = "content", batch: str | None = None) -> DataFrame:
+        """id of each row that repeats a text of an earlier batch; the other texts become history. Ids are unique over all calls.
+
+        batch: column of batch numbers, all higher than those of earlier calls;
+        none: the rows are one batch. drop: _source, _drop (lines to leave out).
+        """
+        number, state = self.versions.latest()
+        state = state or {"fit": None, "shards": 0, "nodes": [], "graphs": [], "last": -1, "entries": 0}
+        src = _source_rows(news, drop, id_col, F.lit(state["last"] + 1) if batch is None else F.col(batch), source, text)
+        if state["fit"] is None:
+            common, sample = fit(src, "_c", "_id")
+            fitted = self.spark.createDataFrame([(bytearray(common.tobytes()), bytearray(sample))], "common binary, sample binary")
+            state["fit"] = self._write(fitted.coalesce(1), "fit")
         else:
-            old = maybe_in(history.select("_key"), "_key", nodes, "_key", nodes.count()).distinct().withColumn("_old", F.lit(True))
-            nodes = materialize(nodes.join(old, "_key", "left"), "checked")
-            fresh = nodes.filter("_old is null")
-            mine = routed(fresh)
-            grams = materialize(mine.select("_gram").distinct(), "grams")
-            n_grams = grams.count()
-            theirs = maybe_in(routed(history), "_gram", grams, "_gram", n_grams).join(grams, "_gram")
-            entries = materialize(mine.unionByName(theirs), "entries")
-            near = near_nodes(entries, entries.count(), since=state["batches"])
-            hit = nodes.join(near, "_node", "left").filter("_old or _near is not null").select("_key", F.lit(-1).alias("_since"), "_n")
-            found = _later(rows.select("_id", "_batch", "_key"), materialize(hit, "hit"), rows.count())
-        found = materialize(found.select(F.col("_id").alias(id_col)), "found")
-        name = f"segment-{uuid.uuid4().hex}"
-        text_of = rows.select(F.col("_id").alias("_node"), "_text")
-        fresh.select("_key", "_node", "_first", "_sig", "_route").join(text_of, "_node").write.option("compression", "zstd").parquet(f"{self.path}/{name}")
-        state["segments"].append((name, fresh.count()))
-        state["batches"] += 1
-        gone = self._compact(state)
-        self._write(state)
+            common, sample = self._fitted(state["fit"])
+        rows = src.select("_id", "_batch", "_c", "_drop").mapInArrow(_canon_batches(sample), "_id long, _batch long, _key binary, _text binary")
+        rows = materialize(rows.filter("_key is not null"), "canon")
+        total, lo, hi = rows.agg(F.count(F.lit(1)), F.min("_batch"), F.max("_batch")).first()
+        if not total:
+            return rows.select(F.col("_id").alias(id_col))
+        if batch is not None and state["graphs"] and lo <= state["last"]:
+            raise ValueError(f"batch {lo} isn't higher than the last one, {state['last']}")
+        nodes = rows.groupBy("_key").agg(F.min(F.struct("_batch", "_id")).alias("_m"), F.first("_text").alias("_text"), F.count(F.lit(1)).alias("_n"))
+        nodes = nodes.select("_key", F.col("_m._batch").alias("_first"), F.col("_m._id").alias("_node"), "_text", "_n")
+        again = None
+        if state["nodes"]:
+            nodes = materialize(nodes, "batch-nodes")
+            old = maybe_in(self._read(state["nodes"]).select("_key"), "_key", nodes, "_key", total).distinct()
+            again = nodes.join(old, "_key", "left_semi").select("_key", F.lit(lo - 1).alias("_since"), "_n")
+            nodes = nodes.join(old, "_key", "left_anti")
+        state["nodes"].append(self._write(nodes, "nodes"))
+        nodes = self._read(state["nodes"][-1:])
+        near = self._search(state, nodes, total, common, sample)
+        known = nodes.select("_key", "_node", "_first", "_n").join(near, "_node", "left")
+        known = known.select("_key", F.least("_first", "_near").alias("_since"), "_first", "_n").filter((F.col("_n") > 1) | (F.col("_since") < F.col("_first")))
+        known = known.select("_key", "_since", "_n")
+        known = materialize(known if again is None else known.unionByName(again), "known")
+        found = materialize(_later(rows.select("_id", "_batch", "_key"), known, total).select(F.col("_id").alias(id_col)), "found")
+        state["last"] = hi
+        gone = self.vacuum(state) if len(state["graphs"]) > self.MAX_PARTS else []
+        self.versions.commit(number + 1, state)
         for g in gone:
             delete_path(self.spark, f"{self.path}/{g}")
         return found
 
-    def _compact(self, state: dict) -> list[str]:
-        if len(state["segments"]) <= self.MAX_SEGMENTS:
-            return []
-        by_size = sorted(state["segments"], key=lambda s: s[1])
-        small = by_size[: len(by_size) // 2 + 1]
-        name = f"segment-{uuid.uuid4().hex}"
-        self.spark.read.parquet(*[f"{self.path}/{s}" for s, _ in small]).write.option("compression", "zstd").parquet(f"{self.path}/{name}")
-        state["segments"] = [*by_size[len(small) :], (name, sum(n for _, n in small))]
-        return [s for s, _ in small]
-
-
-def recall_against_exhaustive(nodes: DataFrame, shard: int = 0, shards: int = 1) -> float:
-    """Share of the pairs of an exhaustive search of one shard, by their queries, that the beams find too."""
-    e = routed(nodes).filter(F.pmod(F.xxhash64("_gram"), F.lit(shards)) == shard).toPandas()
-    if not len(e):
-        return 1.0
-    s = Shard(e["_gram"].to_numpy(), e["_node"].to_numpy(), e["_first"].to_numpy(), np.frombuffer(b"".join(map(bytes, e["_sig"])), np.uint8).reshape(-1, SLOTS // 2))
-    every, found = set(s.replay(exhaustive=True)[0].tolist()), set(s.replay()[0].tolist())
-    return len(every & found) / max(1, len(every))
+    def _search(self, state: dict, nodes: DataFrame, total: int, common: np.ndarray, sample: bytes) -> DataFrame:
+        """_node, _near (a batch): the new nodes that repeat an earlier one; their segments are written."""
+        state["shards"] = state["shards"] or max(1, math.ceil(total * ROUTES / self.shard_entries))
+        texts = nodes.filter("_text is not null")
+        schema = "_shard int, _gram long, _node long, _batch long, _sig binary, _size int"
+        entries = texts.select("_node", "_first", "_text").mapInArrow(_entry_batches(common, sample, state["shards"]), schema)
+        if state["graphs"]:
+            entries = materialize(entries, "entries")
+            stored = self._read(state["graphs"]).filter("_graph is not null").select("_shard", "_graph")
+            touched = entries.select("_shard").distinct()
+            if state["shards"] <= 10_000:  # so that only those shards' row groups are read
+                stored = stored.filter(F.col("_shard").isin([r[0] for r in touched.collect()]))
+            else:
+                stored = stored.join(touched, "_shard", "left_semi")
+            out = entries.groupBy("_shard").cogroup(stored.groupBy("_shard")).applyInArrow(_feed_both, _SHARD_OUT)
+        else:
+            out = entries.groupBy("_shard").applyInArrow(_first_feed, _SHARD_OUT)
+        state["graphs"].append(self._write(out, "graphs"))
+        state["entries"] += total * ROUTES
+        pairs = self._read(state["graphs"][-1:]).filter("_q is not null").select("_q", "_p", "_pb", "_s")
+        top = materialize(pairs.groupBy("_q").agg(F.max(F.struct("_s", "_p", "_pb")).alias("_m")).select("_q", "_m._p", "_m._pb"), "top")
+        stock = self._read(state["nodes"]).filter("_text is not null").select("_node", "_text")
+        yes = decide(top, stock, top.count(), sample)
+        rest = pairs.filter(F.col("_s") >= ALL_FROM).groupBy("_q", "_p").agg(F.min("_pb").alias("_pb"))
+        rest = materialize(rest.join(top, ["_q", "_p"], "left_anti").join(yes, "_q", "left_anti"), "rest")
+        yes = yes.unionByName(decide(rest, stock, rest.count(), sample))
+        return yes.groupBy(F.col("_q").alias("_node")).agg(F.min("_pb").alias("_near"))
+
+    def vacuum(self, state: dict) -> list[str]:
+        """One table of the segments in force instead of many; the names of those it replaces."""
+        old, factor = state["graphs"], 1
+        while state["entries"] > 4 * self.shard_entries * state["shards"] * factor:
+            factor *= 2
+        state["shards"] *= factor
+        kept = self._read(old).filter("_graph is not null").select("_shard", "_graph")
+        out = kept.groupBy("_shard").applyInArrow(_rewrite(state["shards"]), _SHARD_OUT)
+        state["graphs"] = [self._write(out.repartition("_shard").sortWithinPartitions("_shard"), "graphs")]
+        return old
+
+
+def _feed_both(key: tuple, entries: pa.Table, stored: pa.Table) -> pa.Table:
+    return _feed_shard(key if key[0] is not None else (entries.column("_shard")[0],), entries, stored)
+
+
+def _rewrite(shards: int):
+    def run(key: tuple, stored: pa.Table) -> pa.Table:
+        rows = []
+        for s in live([Segment.unpack(x) for x in stored.column("_graph").to_pylist()]):
+            shard = (_mix(s.gram.view(np.uint64)) % np.uint64(shards)).astype(np.int64)
+            for k in np.unique(shard).tolist():
+                m = shard == k
+                w = s.who[m]
+                part = s if m.all() else Segment.of(s.lo, s.hi, s.gram[m], s.node[w], s.batch[w], s.sig[w], s.size[w])
+                rows.append((k, s.lo, s.hi, part.pack()))
+        none = pa.nulls(len(rows), pa.int64())
+        shard, lo, hi, graph = zip(*rows) if rows else ((), (), (), ())
+        cols = [pa.array(shard, pa.int32()), none, none, none, none.cast(pa.int32()), pa.array(lo, pa.int64()), pa.array(hi, pa.int64()), pa.array(graph, pa.binary())]
+        return pa.Table.from_arrays(cols, ["_shard", "_q", "_p", "_pb", "_s", "_lo", "_hi", "_graph"])
+
+    return run
+
+
+def find_repeats(news: DataFrame, drop: DataFrame | None, id_col: str = "seq", batch: str = "batch_no", source: str = "source", text: str = "content") -> DataFrame:
+    """id of each row whose text repeats one of a lower batch: all batches fed into a new index."""
+    spark = news.sparkSession
+    path = f"{shared_dir(spark)}/history-{uuid.uuid4().hex}"
+    delete_at_exit(spark, path)
+    return HistoryIndex(spark, path).add(news, drop, id_col, source, text, batch)
 
 
 def _later(rows: DataFrame, known: DataFrame, total: int) -> DataFrame:
