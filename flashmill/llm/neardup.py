@@ -73,9 +73,12 @@ BEAM, ENTRIES, LINKS, ROUNDS = 12, 8, 8, 6
 WIDTH = 8
 #: Slots in common from which a pair is compared exactly in any case; of pairs with fewer, LEAST_SHARED at least, a query's best one is.
 ALL_FROM, LEAST_SHARED = 14, 10
-#: Cells of a text's character counts; pairs whose distances are computed together, and characters of these.
-COUNTS = 64
-TOGETHER, TOGETHER_CHARS = 1024, 1 << 20
+#: Parts of a text and cells of its 2-grams in the lower bound of a distance.
+BLOCKS, CELLS = 3, 128
+#: Cells of the anchors in the upper bound.
+ANCHOR_CELLS = 1024
+#: Pairs whose distances are computed together, and characters of these.
+TOGETHER, TOGETHER_CHARS = 4096, 1 << 21
 #: Longer texts are compared pair by pair.
 LONG = 20_000
 #: Slots in common that end a beam: the pair is as good as equal.
@@ -155,7 +158,9 @@ class Packer:
 
     def __init__(self, sample: bytes):
         d = zstandard.ZstdCompressionDict(sample, dict_type=zstandard.DICT_TYPE_RAWCONTENT) if sample else None
-        self.out, self.into = zstandard.ZstdDecompressor(dict_data=d), zstandard.ZstdCompressor(level=3, dict_data=d)
+        if d:
+            d.precompute_compress(level=3)
+        self.out, self.into = zstandard.ZstdDecompressor(dict_data=d), zstandard.ZstdCompressor(dict_data=d) if d else zstandard.ZstdCompressor()
 
     def pack(self, texts: pa.Array) -> pa.Array:
         return pa.array([None if x is None else self.into.compress(x.encode()) for x in texts.to_pylist()], pa.binary())
@@ -520,7 +525,8 @@ def within_many(codes: np.ndarray, off: np.ndarray, x: np.ndarray, y: np.ndarray
     some = some[np.lexsort((n[some], m[some]))]
     while len(some):
         # the longest first; as many as hold TOGETHER_CHARS at most
-        count = int(max(1, min(TOGETHER, TOGETHER_CHARS // max(1, n[some[-1]]), len(some))))
+        like = len(some) - int(np.searchsorted(m[some], int(0.8 * m[some[-1]])))
+        count = int(max(1, min(TOGETHER, TOGETHER_CHARS // max(1, n[some[-1]]), like)))
         i, some = some[-count:], some[:-count]
         if count == 1 or n[i].max() > LONG:
             for one in i.tolist():
@@ -560,47 +566,164 @@ def _together(codes: np.ndarray, a: np.ndarray, m: np.ndarray, b: np.ndarray, n:
     sym[bj, bi] = own[bc]
     sym += np.arange(count) * kinds
     pv, mv = np.full((words, len(act)), ~np.uint64(0)), np.zeros((words, len(act)), np.uint64)
-    top, at, bit = (m - 1) >> 6, np.arange(len(act)), ((m - 1) & 63).astype(np.uint64)
+    top, bit = (m - 1) >> 6, ((m - 1) & 63).astype(np.uint64)
     d = m.astype(np.int64)[act]
     top, bit, rest, most = top[act], bit[act], n[act], k[act]
+    lane = np.arange(len(act))
     for j in range(int(n.max())):
-        c = sym[j, act]
-        add, less = one, np.uint64(0)
-        ups, downs = np.empty_like(pv), np.empty_like(pv)
-        for w in range(words):
-            e, p, v = eq[w].take(c), pv[w], mv[w]
-            xv = e | v
-            e |= less
-            xh = (((e & p) + p) ^ p) | e
-            ups[w] = ph = v | ~(xh | p)
-            downs[w] = mh = p & xh
-            ph, mh, add, less = ph << one | add, mh << one | less, ph >> np.uint64(63), mh >> np.uint64(63)
-            pv[w] = mh | ~(xv | ph)
-            mv[w] = ph & xv
-        d += (ups[top, at] >> bit & one).astype(np.int64) - (downs[top, at] >> bit & one).astype(np.int64)
+        e = eq[:, sym[j, act]]
+        xv = e | mv
+        t = e & pv
+        t += pv
+        carry = t < pv
+        for w in range(1, words):
+            t[w] += carry[w - 1]
+            carry[w] |= carry[w - 1] & (t[w] == 0)
+        t ^= pv
+        t |= e  # where the distance stays or falls along the row
+        ph = ~(t | pv)
+        ph |= mv
+        mh = pv & t
+        d += (ph[top, lane] >> bit & one).astype(np.int64) - (mh[top, lane] >> bit & one).astype(np.int64)
+        up, down = ph << one, mh << one
+        up[1:] |= ph[:-1] >> np.uint64(63)
+        down[1:] |= mh[:-1] >> np.uint64(63)
+        up[0] |= one
+        pv = ~(xv | up)
+        pv |= down
+        mv = up & xv
         end = rest == j + 1
-        if end.any() or j & 15 == 15:
+        if j & 15 == 15 or end.any():
             far = d - (rest - j - 1) > most
+            if j & 31 == 31:
+                far |= _column_bound(pv, mv, j + 1, m[act], rest) > most
             out[act[far]] = False
             go = ~(far | end)
             act, pv, mv, d = act[go], pv[:, go], mv[:, go], d[go]
-            top, bit, rest, most, at = top[go], bit[go], rest[go], most[go], at[: len(act)]
+            top, bit, rest, most, lane = top[go], bit[go], rest[go], most[go], lane[: len(act)]
             if not len(act):
                 break
     return out
 
 
+def _column_bound(pv: np.ndarray, mv: np.ndarray, j: int, m: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """What the distances of lanes come to at least after j columns: the least over all runs of 16 rows.
+
+    Within a run between values a and b no cell is below (a + b - 16) / 2; what
+    is left of the two texts differs in length by a known number at least.
+    """
+    words, lanes = pv.shape
+    shift = (np.arange(4, dtype=np.uint64) * np.uint64(16))[None, :, None]
+    low = np.uint64(0xFFFF)
+    step = np.bitwise_count((pv[:, None] >> shift) & low).astype(np.int32) - np.bitwise_count((mv[:, None] >> shift) & low)
+    end = j + np.cumsum(step.reshape(words * 4, lanes), 0)
+    start = np.concatenate([np.full((1, lanes), j), end[:-1]])
+    row = (np.arange(words * 4) * 16)[:, None]
+    left = np.maximum(np.abs((m - row - 8) - (n - j)) - 8, 0)
+    return np.where(row < m, (start + end - 16 + 1) // 2 + left, 1 << 30).min(0)
+
+
+def far_apart(codes: np.ndarray, off: np.ndarray, x: np.ndarray, y: np.ndarray, k: np.ndarray) -> np.ndarray:
+    """Pairs that can't be within k: an edit spoils two 2-grams of the longer text x at most, all others stand in y, moved by k at most.
+
+    The 2-grams of each of BLOCKS parts of x are counted against those of y in
+    the part's reach, in CELLS cells by hash.
+    """
+    n = len(x)
+    m = np.diff(off)[x]
+    pair, at = np.repeat(np.arange(n), m - 1), _spans(off[x], m - 1)
+    gram = lambda i: (_mix((codes[i].astype(np.uint64) << np.uint64(32) | codes[i + 1]) * _MUL) >> np.uint64(32)).astype(np.int64) % CELLS
+    block = (at - off[x][pair]) * BLOCKS // m[pair]
+    mine = np.bincount((pair * BLOCKS + block) * CELLS + gram(at), minlength=n * BLOCKS * CELLS).reshape(n, BLOCKS, CELLS)
+    m2 = np.diff(off)[y]
+    pair, at = np.repeat(np.arange(n), np.maximum(m2 - 1, 0)), _spans(off[y], np.maximum(m2 - 1, 0))
+    place, cell = at - off[y][pair], gram(at)
+    out = np.zeros(n, np.int64)
+    for i in range(BLOCKS):
+        near = (place >= (m * i // BLOCKS - k)[pair]) & (place <= (-(-m * (i + 1) // BLOCKS) + k)[pair])
+        theirs = np.bincount(pair[near] * CELLS + cell[near], minlength=n * CELLS).reshape(n, CELLS)
+        out += np.maximum(mine[:, i] - theirs, 0).sum(1)
+    return out > 2 * k
+
+
+def surely_near(codes: np.ndarray, off: np.ndarray, x: np.ndarray, y: np.ndarray, k: np.ndarray) -> np.ndarray:
+    """Pairs that are within k by an alignment at hand.
+
+    Its anchors are 4-grams that both texts hold once (by their cell among
+    ANCHOR_CELLS), in the same order; what lies between two anchors is compared
+    place by place where it is as long in both texts, else replaced.
+    """
+    n, size = len(x), np.diff(off)
+    ok = np.zeros(n, bool)
+    got = []
+    for t in (x, y):
+        m = np.maximum(size[t] - 3, 0)
+        pair, at = np.repeat(np.arange(n), m), _spans(off[t], m)
+        h = np.zeros(len(at), np.uint64)
+        for j in range(4):
+            h = (h + codes[at + j] + np.uint64(1)) * _B
+        h = _mix(h)
+        cell = pair * ANCHOR_CELLS + (h >> np.uint64(40)).astype(np.int64) % ANCHOR_CELLS
+        got.append((pair, at, h, cell, np.bincount(cell, minlength=n * ANCHOR_CELLS)))
+    (pair, at, h, cell, cx), (_, at2, h2, cell2, cy) = got
+    where = np.zeros(n * ANCHOR_CELLS, np.int64)
+    where[cell2] = np.arange(len(cell2))
+    use = np.flatnonzero((cx[cell] == 1) & (cy[cell] == 1))
+    to = where[cell[use]]
+    same = h[use] == h2[to]
+    use, to = use[same], to[same]
+    pair, i, j = pair[use], at[use], at2[to]  # places in codes
+    j = j - off[y][pair] + (pair << 32)  # from here on grows from pair to pair
+    for _ in range(3):  # leave out what stands out of order
+        bad = (j < np.maximum.accumulate(j)) | (j > np.minimum.accumulate(j[::-1])[::-1])
+        if not bad.any():
+            break
+        d = j - i
+        line = np.median(np.stack([np.roll(d, s) for s in (-2, -1, 0, 1, 2)]), 0)
+        stray = bad & (d != line)
+        keep_ = ~(stray if stray.any() else bad)
+        pair, i, j = pair[keep_], i[keep_], j[keep_]
+    if not len(pair):
+        return ok
+    j = (j & 0xFFFFFFFF) + off[y][pair]
+    head = np.flatnonzero(np.concatenate([[True], np.diff(pair) != 0]))
+    tail = np.concatenate([head[1:], [len(pair)]]) - 1
+    which = pair[head]
+    inner = np.flatnonzero(pair[1:] == pair[:-1])
+    # stretches between anchors: before the first, between two, after the last
+    a = np.concatenate([off[x][which], i[inner] + 4, i[tail] + 4])
+    b = np.concatenate([off[y][which], j[inner] + 4, j[tail] + 4])
+    la = np.concatenate([i[head], i[inner + 1], off[x + 1][which]]) - a
+    lb = np.concatenate([j[head], j[inner + 1], off[y + 1][which]]) - b
+    of = np.concatenate([which, pair[inner], which])
+    even = (la == lb) & (la > 0)
+    cost = np.where(even, 0, np.maximum(la, lb) - np.minimum(np.minimum(la, lb), 0))
+    total = np.bincount(of, cost, n)
+    la, wa, wb, of = la[even], a[even], b[even], of[even]
+    total += np.bincount(np.repeat(of, la), codes[_spans(wa, la)] != codes[_spans(wb, la)], n)
+    straight = np.bincount(pair[inner], (j[inner + 1] <= j[inner]) | (i[inner + 1] <= i[inner]), n) == 0
+    ok[which] = True
+    return ok & straight & (total <= k)
+
+
 def close_pairs(texts: pa.Array, x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Places of the pairs of texts within MAX_EDITS."""
+    """Places of the pairs of texts within MAX_EDITS: bounds from both sides first, then the distance."""
     codes, off = to_codes(texts)
     size = np.diff(off)
-    cell = owner(off) * COUNTS + (_mix(codes.astype(np.uint64) * _MUL) >> np.uint64(58)).astype(np.int64)
-    counts = np.minimum(np.bincount(cell, minlength=len(size) * COUNTS), 32_000).astype(np.int16).reshape(-1, COUNTS)
-    k = (MAX_EDITS * np.maximum(size[x], size[y]) + 1e-9).astype(np.int64)
-    diff = counts[x].astype(np.int32) - counts[y]
-    up = np.maximum(diff, 0).sum(1)
-    i = np.flatnonzero((np.abs(size[x] - size[y]) <= k) & (np.maximum(up, up - diff.sum(1)) <= k))
-    return i[within_many(codes, off, x[i], y[i], k[i])]
+    x, y = np.where(size[x] >= size[y], x, y), np.where(size[x] >= size[y], y, x)
+    k = (MAX_EDITS * size[x] + 1e-9).astype(np.int64)
+    yes = [np.zeros(0, np.int64)]
+    some = np.flatnonzero((size[x] - size[y] <= k) & (size[x] > 1))
+    rest = [np.zeros(0, np.int64)]
+    for lo, hi in _cuts(np.cumsum(size[x][some]), 1 << 16):
+        i = some[lo:hi]
+        i = i[~far_apart(codes, off, x[i], y[i], k[i])]
+        near = surely_near(codes, off, x[i], y[i], k[i])
+        yes.append(i[near])
+        rest.append(i[~near])
+    i = np.concatenate(rest)
+    yes.append(i[within_many(codes, off, x[i], y[i], k[i])])
+    return np.concatenate(yes)
 
 
 def _compare_batches(sample: bytes):
