@@ -1,13 +1,17 @@
 """Evaluation passages in a corpus (problem 9).
 
 Corpus texts and passages are compared as letters and digits in canonical form.
-A shard (a batch of texts, concatenated) is indexed by a sparse suffix array:
-the suffixes whose first characters occur in some passage at all, ordered by
-the code of these characters. Every suffix of every passage is searched in it
-by binary search; matches are grouped by document, passage and diagonal, and
-for each diagonal band with enough of them the stretch is compared exactly: the
-passage's share that stands verbatim (in runs of VERIFY characters or more)
-in the band, over its best half.
+The passages' suffixes are put into order once; the common prefixes of
+neighbours give for each suffix the shortest start (of LENGTHS) that no more
+than COMMON passages share. A shard (a batch of texts, concatenated) gets a
+sparse suffix array: its suffixes that have the start of some passage suffix,
+in lexicographic order. Every passage suffix that has such a start is searched
+in it by binary search; the verbatim matches found, with their places, are put
+together to runs, and the runs of a document and passage are chained in the
+order of both, with as much drift as their distance allows. Along a chain that
+has enough of them the stretch is compared: the part of the passage's best half
+that stands there verbatim (in runs of VERIFY characters or more), or the words
+(in ideographs and kana the characters) that aren't as in the passage.
 
 Passages without letters or digits, and null, empty and blank texts, give no
 rows; a document that repeats a passage, or a passage given twice, gives one
@@ -16,6 +20,7 @@ row for each item.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,17 +32,21 @@ from flashmill.kernel import expand_folds, pieces
 from flashmill.llm.forms import form_codes
 from flashmill.llm.looks import looks
 
-#: Characters of a search: of ideographs and kana, of other scripts. Runs that count when a stretch is compared.
-SEARCH = (4, 8)
+#: Characters of a suffix's start; the shortest one is for ideographs and kana only.
+LENGTHS = (4, 8, 16, 32)
+#: Chance of a start of such a length to be free of changes when a tenth is changed, of ideographs and kana, and of others.
+FREE = ((0.66, 0.43, 0.18, 0.03), (0.85, 0.77, 0.66, 0.49))
+#: Runs that count when a stretch is compared, of ideographs and kana, and of others.
 VERIFY = (3, 5)
-#: Passage suffixes whose start occurs in more passages serve no search, unless a passage would be left with too few.
+#: Passages that may share a start.
 COMMON = 3
-ENOUGH = 24
+#: Characters by which a match may lie off the line through its chain.
 BAND = 40
-#: Share of the searched suffixes of a passage's poorest half that a leak must match; changed words cost some.
-SEED_SHARE = 0.32
+#: Share of the matches to be expected of a passage's poorest half, when a tenth is changed, that a leak must have.
+SEED_SHARE = 0.5
 SHARE = 0.5
-SAME = 0.88
+#: Verbatim share of the best half that is enough by itself; or else the share of its words (characters) that may be changed.
+SAME, CHANGED = 0.88, 0.1
 FILTER_BITS = 22
 #: Letters and digits of the passages searched at once; more are searched in blocks.
 BLOCK = 4_000_000
@@ -51,12 +60,30 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
+def _ends(off: np.ndarray) -> np.ndarray:
+    return np.repeat(off[1:], np.diff(off))
+
+
+def starts(codes: np.ndarray, off: np.ndarray) -> list[np.ndarray]:
+    """For each of LENGTHS the hash of each suffix's start, 0 where the text ends before."""
+    n = len(codes)
+    h = _mix((codes.astype(np.uint64) + np.uint64(1)) * _MUL)
+    left = _ends(off) - np.arange(n)
+    out, k = [], 1
+    while k <= LENGTHS[-1]:
+        if k in LENGTHS:
+            out.append(np.where(left >= k, _mix(h) | np.uint64(1), np.uint64(0)))
+        h = h * np.uint64(pow(_STEP, k, 1 << 64)) + np.concatenate([h[k:], np.zeros(min(k, n), np.uint64)])
+        k *= 2
+    return out
+
+
 def start_codes(codes: np.ndarray, off: np.ndarray, lengths: tuple[int, int]) -> np.ndarray:
-    """Code of the first characters of each suffix: ``lengths`` for ideographs and kana, and for others; 0 where the text ends before."""
+    """Hash of the first characters of each suffix: ``lengths`` for ideographs and kana, and for others; 0 where the text ends before."""
     n = len(codes)
     c = _mix((codes.astype(np.uint64) + np.uint64(1)) * _MUL)
     wide = codes >= 0x2E80
-    end = np.repeat(off[1:], np.diff(off))
+    end = _ends(off)
     out = np.zeros(n, np.uint64)
     h = np.zeros(n, np.uint64)
     top = max(lengths)
@@ -71,38 +98,146 @@ def start_codes(codes: np.ndarray, off: np.ndarray, lengths: tuple[int, int]) ->
     return out
 
 
+class Suffixes:
+    """Some suffixes of joined texts in lexicographic order, as far as their first LENGTHS[-1] characters.
+
+    letters: the number of each character, below 1 << 16; four of them are one
+    key, so that a comparison takes four characters at a time. Places after a
+    text's end are 0.
+    """
+
+    KEYS = LENGTHS[-1] // 4
+
+    def __init__(self, letters: np.ndarray, off: np.ndarray, at: np.ndarray):
+        self.end = _ends(off)
+        left = self.end - np.arange(len(letters))
+        pad = np.concatenate([letters, np.zeros(3, np.int64)]).astype(np.uint64)
+        self.packed = pad[: len(letters)]
+        for j in range(1, 4):
+            self.packed = (self.packed << np.uint64(16)) | np.where(left > j, pad[j : len(letters) + j], np.uint64(0))
+        rank = np.zeros(len(at), np.int64)
+        order = np.arange(len(at))
+        tied = order.copy()
+        for k in range(self.KEYS):  # in each round only what is equal so far is sorted by the next key
+            key = self.key(at[order[tied]], k)
+            by = np.lexsort((key, rank[tied])) if k else np.argsort(key)
+            order[tied] = order[tied][by]
+            key, old = key[by], rank[tied]
+            new = np.concatenate([[True], (key[1:] != key[:-1]) | (old[1:] != old[:-1])]) if len(key) else np.zeros(0, bool)
+            rank[tied] = tied[np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))] if len(key) else rank[tied]
+            same = np.zeros(len(at) + 1, bool)
+            same[1:-1] = rank[1:] == rank[:-1]
+            tied = np.flatnonzero(same[1:] | same[:-1])
+            if not len(tied):
+                break
+        self.order = order
+        self.sa = at[order]
+
+    def key(self, at: np.ndarray, k: int) -> np.ndarray:
+        if not k:
+            return self.packed[at]
+        to = at + 4 * k
+        return np.where(to < self.end[at], self.packed[np.minimum(to, len(self.packed) - 1)], np.uint64(0))
+
+    def common_prefixes(self) -> np.ndarray:
+        """Characters that each suffix has in common with the one before it, up to LENGTHS[-1]."""
+        out = np.zeros(len(self.sa), np.int64)
+        go = np.arange(1, len(self.sa))
+        for k in range(self.KEYS):
+            a, b = self.key(self.sa[go - 1], k), self.key(self.sa[go], k)
+            diff = a ^ b
+            whole = diff == 0
+            for j in range(4):  # characters before the first difference, and before both end
+                part = ((diff >> np.uint64(48 - 16 * j)) == 0) & ((a >> np.uint64(48 - 16 * j)) & np.uint64(0xFFFF) != 0)
+                out[go[part]] = 4 * k + j + 1
+            go = go[whole]
+        return out
+
+    def find(self, other: Suffixes, q: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(first, end) in this order of the suffixes that start with the first length characters of the other's suffix at q."""
+        lo, hi = np.zeros(len(q), np.int64), np.full(len(q), len(self.sa))
+        go = np.arange(len(q))
+        for k in range(self.KEYS):
+            go = go[(length[go] > 4 * k) & (lo[go] < hi[go])]
+            if not len(go):
+                break
+            want = other.key(q[go], k)
+            lo[go], hi[go] = self._bisect(want, lo[go], hi[go], k, False), self._bisect(want, lo[go], hi[go], k, True)
+        return lo, hi
+
+    def _bisect(self, want: np.ndarray, lo: np.ndarray, hi: np.ndarray, k: int, right: bool) -> np.ndarray:
+        if k == 0:
+            if not hasattr(self, "_first"):
+                self._first = self.key(self.sa, 0)
+            return np.searchsorted(self._first, want, "right" if right else "left")
+        lo, hi = lo.copy(), hi.copy()
+        go = np.flatnonzero(lo < hi)
+        while len(go):
+            m = (lo[go] + hi[go]) // 2
+            key = self.key(self.sa[m], k)
+            below = key <= want[go] if right else key < want[go]
+            lo[go], hi[go] = np.where(below, m + 1, lo[go]), np.where(below, hi[go], m)
+            go = go[lo[go] < hi[go]]
+        return lo
+
+
 class Passages:
-    """The searched passages: their suffixes in order of their first characters, and a filter over these."""
+    """The searched passages: their suffixes in order, the length by which each is searched, and filters over the starts."""
 
     def __init__(self, ids: list, texts: list[str | None]):
         codes, off = canonical_codes(pa.array(texts, pa.string()))
         size = np.diff(off)
         self.ids, self.codes, self.off, self.size = ids, codes, off, size
-        owner = np.repeat(np.arange(len(ids)), size)
-        place = np.arange(len(codes)) - off[:-1][owner]
-        seed = start_codes(codes, off, SEARCH)
-        ok = seed != 0
-        pair = np.unique(np.stack([seed[ok], owner[ok].astype(np.uint64)], 1), axis=0) if ok.any() else np.zeros((0, 2), np.uint64)
-        u, df = np.unique(pair[:, 0], return_counts=True)
-        rare = np.zeros(len(codes), bool)
-        self.need = np.ones(len(ids), np.int64)
-        rare[ok] = df[np.searchsorted(u, seed[ok])] <= COMMON
-        for i in range(len(ids)):
-            a, b = off[i], off[i + 1]
-            half = max(1, int(np.ceil(SHARE * size[i])))
-            cum = np.concatenate([[0], np.cumsum(rare[a:b])])
-            if size[i] and (cum[half:] - cum[:-half]).min() < ENOUGH:
-                rare[a:b] = ok[a:b]
-                cum = np.concatenate([[0], np.cumsum(rare[a:b])])
-            if size[i]:
-                self.need[i] = max(1, int(np.ceil(SEED_SHARE * (cum[half:] - cum[:-half]).min())))
-        use = np.flatnonzero(rare & ok)
-        use = use[np.argsort(seed[use], kind="stable")]
-        self.seed, self.item, self.place = seed[use], owner[use], place[use]
-        self.filter = np.zeros(1 << FILTER_BITS, bool)
-        self.filter[(self.seed >> np.uint64(64 - FILTER_BITS)).astype(np.int64)] = True
+        item = np.repeat(np.arange(len(ids)), size)
+        self.alphabet = np.zeros(0x110000, np.uint16)
+        kinds = np.unique(codes)
+        self.alphabet[kinds] = np.arange(1, len(kinds) + 1) if len(kinds) < 0xFFFF else 1 + np.arange(len(kinds)) % 0xFFFE
+        self.suffixes = Suffixes(self.alphabet[codes].astype(np.int64), off, np.arange(len(codes)))
+        sa, lcp = self.suffixes.sa, self.suffixes.common_prefixes()
+        left = _ends(off) - np.arange(len(codes))
+        length = np.zeros(len(codes), np.int64)
+        wide = codes >= 0x2E80
+        for k in reversed(LENGTHS):
+            group = np.cumsum(lcp < k)
+            pair = np.unique(group * (len(ids) + 1) + item[sa])
+            many = np.bincount(pair // (len(ids) + 1), minlength=group.max(initial=0) + 1)[group] > COMMON
+            ok = np.zeros(len(codes), bool)
+            ok[sa] = ~many | (k == LENGTHS[-1])  # what many passages share is searched by its longest start
+            length[ok & (left >= k) & (wide | (k >= 8))] = k
+        self.q = np.flatnonzero(length)
+        self.length, self.item = length[self.q], item[self.q]
+        self.place = self.q - off[:-1][self.item] if len(self.q) else self.q
+        self.filters = []
+        for k, h in zip(LENGTHS, starts(codes, off)):
+            f = np.zeros(1 << FILTER_BITS, bool)
+            f[(h[self.q[self.length == k]] >> np.uint64(64 - FILTER_BITS)).astype(np.int64)] = True
+            self.filters.append(f)
+        # matches that a leak of the poorest half has when a tenth is changed
+        weight = np.zeros(len(codes))
+        weight[self.q] = np.where(wide[self.q], np.array(FREE[0])[np.searchsorted(LENGTHS, self.length)], np.array(FREE[1])[np.searchsorted(LENGTHS, self.length)])
+        self.need = np.ones(len(ids))
+        for i in np.flatnonzero(size).tolist():
+            cum = np.concatenate([[0], np.cumsum(weight[off[i] : off[i + 1]])])
+            half = self.half(i)
+            self.need[i] = max(1.0, SEED_SHARE * (cum[half:] - cum[:-half]).min())
         self.verify = start_codes(codes, off, VERIFY)
-        self.width = np.where(codes >= 0x2E80, VERIFY[0], VERIFY[1])
+        self.width = np.where(wide, *VERIFY)
+        self.word = _word_numbers(texts, codes, off)
+
+    def half(self, i: int) -> int:
+        return max(1, int(np.ceil(SHARE * self.size[i])))
+
+
+def _word_numbers(texts: list[str | None], codes: np.ndarray, off: np.ndarray) -> np.ndarray:
+    """The number of each character's word within its passage; an ideograph or kana is a word."""
+    out = []
+    for i, t in enumerate(texts):
+        words = re.findall(r"[\u2e80-\U0010ffff]|[^\W\u2e80-\U0010ffff]+", t or "")
+        n = np.diff(canonical_codes(pa.array(words, pa.string()))[1])
+        own = np.repeat(np.arange(len(words)), n)
+        size = int(off[i + 1] - off[i])
+        out.append(own if len(own) == size else np.where(codes[off[i] : off[i + 1]] >= 0x2E80, 1, 0.2).cumsum().astype(np.int64))
+    return np.concatenate(out) if out else np.zeros(0, np.int64)
 
 
 def canonical_codes(arr: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -112,58 +247,97 @@ def canonical_codes(arr: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 def search(p: Passages, texts: pa.Array) -> list[tuple[int, int, int]]:
     """(row, item, longest verbatim run) of the leaks in one shard of texts."""
     codes, off = canonical_codes(texts)
-    if not len(codes) or not len(p.seed):
+    if not len(codes) or not len(p.q):
         return []
-    seed = start_codes(codes, off, SEARCH)
-    # sparse suffix array of the shard
-    at = np.flatnonzero(p.filter[(seed >> np.uint64(64 - FILTER_BITS)).astype(np.int64)] & (seed != 0))
-    sa = at[np.argsort(seed[at], kind="stable")]
-    keys = seed[sa]
-    lo, hi = np.searchsorted(keys, p.seed, "left"), np.searchsorted(keys, p.seed, "right")
+    hit = np.zeros(len(codes), bool)
+    for f, h in zip(p.filters, starts(codes, off)):
+        hit |= f[(h >> np.uint64(64 - FILTER_BITS)).astype(np.int64)] & (h != 0)
+    letters = np.where(p.alphabet[codes] == 0, 0xFFFF, p.alphabet[codes]).astype(np.int64)
+    shard = Suffixes(letters, off, np.flatnonzero(hit))
+    lo, hi = shard.find(p.suffixes, p.q, p.length)
     n = hi - lo
-    q = np.repeat(np.arange(len(p.seed)), n)
+    q = np.repeat(np.arange(len(p.q)), n)
     if not len(q):
         return []
-    pos = sa[np.repeat(lo, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)]
+    pos = shard.sa[np.repeat(lo, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)]
     doc = np.searchsorted(off, pos, "right") - 1
     item, place = p.item[q], p.place[q]
+    which = doc * len(p.ids) + item
     diag = pos - off[doc] - place
-    # a band and the next one, so that no match is cut off at an edge
-    cell = (diag + (1 << 30)) // BAND
-    key = np.concatenate([(doc * len(p.ids) + item) * (1 << 32) + cell + s for s in (0, 1)])
-    order = np.lexsort((np.tile(place, 2), key))
-    k, pl, dg = key[order], np.tile(place, 2)[order], np.tile(diag, 2)[order]
-    new = np.concatenate([[True], k[1:] != k[:-1]])
-    distinct = new | np.concatenate([[True], pl[1:] != pl[:-1]])
-    group = np.cumsum(new) - 1
-    seeds = np.bincount(group, distinct)
+    # documents and passages with enough matching suffixes, then with enough near one diagonal; drift grows with the passage
+    ok = np.flatnonzero(_counts(which) >= p.need[item])
+    which, item, place, diag = which[ok], item[ok], place[ok], diag[ok]
+    width = BAND + p.size[item] // 4
+    most = np.zeros(len(which), np.int64)
+    for shift in (0, 1):
+        cell = (diag + (1 << 30) + shift * (width // 2)) // width
+        most = np.maximum(most, _counts(which << 31 | cell))
+    live = np.unique(which[most >= p.need[item]])
+    ok = np.isin(which, live)
+    which, place, diag = which[ok], place[ok], diag[ok]
+    order = np.lexsort((place, diag, which))
+    which, place, diag = which[order], place[order], diag[order]
+    # runs: matches on one diagonal that stand close together
+    new = np.concatenate([[True], (which[1:] != which[:-1]) | (diag[1:] != diag[:-1]) | (place[1:] > place[:-1] + BAND)]) if len(which) else np.zeros(0, bool)
     first = np.flatnonzero(new)
-    mean = np.bincount(group, dg) / np.bincount(group)
-    which = k[first] >> 32
-    cand = np.flatnonzero(seeds >= p.need[which % len(p.ids)])
-    cand = cand[np.lexsort((-seeds[cand], which[cand]))]
-    out, done, last = [], set(), -1
-    verify = None
-    for c in cand.tolist():
-        w = int(which[c])
-        if w in done:
-            continue
-        d, i = divmod(w, len(p.ids))
-        if d != last:
+    last = np.concatenate([first[1:], [len(which)]]) - 1 if len(first) else first
+    runs = np.stack([which[first], place[first], place[last], diag[first], last - first + 1], 1) if len(first) else np.zeros((0, 5), np.int64)
+    cuts = np.flatnonzero(np.diff(runs[:, 0])) + 1
+    out, at, verify = [], -1, None
+    for part in np.split(runs, cuts) if len(runs) else []:
+        d, i = divmod(int(part[0, 0]), len(p.ids))
+        if d != at:
             a, b = int(off[d]), int(off[d + 1])
-            verify, last = start_codes(codes[a:b], np.array([0, b - a]), VERIFY), d
-        run = _compare(p, i, verify, float(mean[c]))
-        if run:
-            done.add(w)
-            out.append((d, i, run))
+            verify, own, at = start_codes(codes[a:b], np.array([0, b - a]), VERIFY), codes[a:b], d
+        for line in _chains(part[:, 1:], p.need[i]):
+            run = _compare(p, i, verify, own, *line)
+            if run:
+                out.append((d, i, run))
+                break
     return out
 
 
-def _compare(p: Passages, i: int, text: np.ndarray, diag: float) -> int:
-    """Longest verbatim run if the passage's best half stands in the band around diag, else 0."""
+def _counts(key: np.ndarray) -> np.ndarray:
+    """For each element how often its value occurs."""
+    _, at, n = np.unique(key, return_inverse=True, return_counts=True)
+    return n[at]
+
+
+def _chains(runs: np.ndarray, need: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(places, diagonals) of chains of runs (start, end, diagonal, matches) with need matches, heaviest first.
+
+    A run can follow another that starts before it in both texts, if the
+    diagonals differ by BAND and a quarter of the places between at most.
+    """
+    left = runs[np.lexsort((runs[:, 2], runs[:, 0]))]
+    while len(left) and left[:, 3].sum() >= need:
+        a, b, d, w = left.T
+        best, prev = w.astype(np.float64), np.full(len(left), -1)
+        for j in range(1, len(left)):
+            c = np.flatnonzero((b[:j] < b[j]) & (a[:j] + d[:j] < a[j] + d[j]) & (b[:j] + d[:j] < b[j] + d[j]) & (np.abs(d[:j] - d[j]) <= BAND + np.maximum(a[j] - b[:j], 0) // 4))
+            if len(c):
+                k = c[np.argmax(best[c])]
+                best[j], prev[j] = best[k] + w[j], k
+        j = int(np.argmax(best))
+        if best[j] < need:
+            return
+        chain = []
+        while j >= 0:
+            chain.append(j)
+            j = int(prev[j])
+        chain = chain[::-1]
+        x, y = np.stack([a[chain], b[chain]], 1).ravel(), np.repeat(d[chain], 2)
+        keep_ = np.concatenate([[True], np.diff(np.maximum.accumulate(x)) > 0])
+        yield x[keep_], y[keep_]
+        left = np.delete(left, chain, 0)
+
+
+def _compare(p: Passages, i: int, text: np.ndarray, codes: np.ndarray, places: np.ndarray, diags: np.ndarray) -> int:
+    """Longest verbatim run if a half of the passage stands in the text along the line through (places, diagonals), else 0."""
     a, n = int(p.off[i]), int(p.size[i])
     own, width = p.verify[a : a + n], p.width[a : a + n]
-    lo, hi = max(0, int(diag) - BAND), min(len(text), int(diag) + n + BAND + 1)
+    line = np.interp(np.arange(n), places, diags)
+    lo, hi = max(0, int(line.min()) - BAND), min(len(text), int(line.max()) + n + BAND + 1)
     seg = text[lo:hi]
     if not len(seg):
         return 0
@@ -174,18 +348,41 @@ def _compare(p: Passages, i: int, text: np.ndarray, diag: float) -> int:
     cnt = r - l
     w = np.repeat(np.arange(n), cnt)
     pos = order[np.repeat(l, cnt) + np.arange(cnt.sum()) - np.repeat(np.cumsum(cnt) - cnt, cnt)] + lo
-    w = w[np.abs(pos - w - diag) <= BAND]
+    w = w[np.abs(pos - w - line[w]) <= BAND]
     edge = np.zeros(n + 1, np.int64)
     w = np.unique(w)
     np.add.at(edge, w, 1)
     np.add.at(edge, np.minimum(w + width[w], n), -1)
     covered = np.cumsum(edge)[:n] > 0
-    half = max(1, int(np.ceil(SHARE * n)))
+    half = p.half(i)
     cum = np.concatenate([[0], np.cumsum(covered)])
-    if (cum[half:] - cum[:-half]).max() < SAME * half:
-        return 0
+    share = cum[half:] - cum[:-half]
     gaps = np.flatnonzero(np.concatenate([[True], ~covered, [True]]))
-    return int(np.diff(gaps).max() - 1)
+    longest = int(np.diff(gaps).max() - 1)
+    if share.max() >= SAME * half:
+        return longest
+    if share.max() < (1 - 3 * CHANGED) * half:
+        return 0
+    x = int(np.argmax(share))
+    if (p.codes[a + x : a + x + half] >= 0x2E80).mean() > 0.5:
+        t = codes[max(0, x + int(line[x : x + half].min()) - half // 8) : x + half + int(line[x : x + half].max()) + half // 8]
+        return longest if _inside(p.codes[a + x : a + x + half], t) <= CHANGED * half else 0
+    word = p.word[a + x : a + x + half]
+    return longest if len(np.unique(word[~covered[x : x + half]])) <= CHANGED * len(np.unique(word)) else 0
+
+
+def _inside(pattern: np.ndarray, text: np.ndarray) -> int:
+    """The least edit distance of the pattern to a part of the text."""
+    n = len(pattern)
+    at = np.arange(n + 1)
+    row = at.copy()
+    best = n
+    for c in text.tolist():
+        new = np.minimum(row[1:] + 1, row[:-1] + (pattern != c))
+        new = np.concatenate([[0], new])
+        row = np.minimum.accumulate(new - at) + at
+        best = min(best, int(row[-1]))
+    return best
 
 
 def _batches(blocks: list[Passages]):
