@@ -52,5 +52,22 @@ def test_mixture_settles_an_undeclared_order(spark):
     assert resolve(spark, [("3/4/2024 10:00", "free")])[0] == (None, "ambiguous")
 
 
+def test_an_abbreviation_with_several_offsets(spark):
+    feeds = spark.createDataFrame([("m", "Europe/Moscow", "dmy")], "source string, tz string, date_order string")
+    df = spark.createDataFrame([("2013-01-05 10:00 MSK", "m"), ("2025-01-05 10:00 MSK", "m")], "t string, source string")
+    got = [r.epoch_us for r in timestamps.resolve(df, "t", "source", feeds).orderBy("t").collect()]
+    assert got == [utc(2013, 1, 5, 6), utc(2025, 1, 5, 7)]
+
+
+def test_values_against_the_declared_order_are_marked(spark):
+    rows = [(f"{d}/5/2024 10:00", "us") for d in range(13, 29)] + [("3/4/2024 10:00", "us")]
+    assert resolve(spark, rows)[-1] == (utc(2024, 3, 4, 15), "contested")
+    assert resolve(spark, [("5/14/2024 10:00", "us"), ("3/4/2024 10:00", "us")])[-1] == (utc(2024, 3, 4, 15), "instant")
+
+
+def test_rows_of_digits(spark):
+    assert [g[0] for g in resolve(spark, [("202601021530", "cn"), ("20260102153000", "cn"), ("1767225600", "cn")])] == [utc(2026, 1, 2, 7, 30), utc(2026, 1, 2, 7, 30), 1767225600_000_000]
+
+
 def test_empty(spark):
     assert resolve(spark, []) == []
