@@ -32,14 +32,32 @@ def _news_instants(spark: SparkSession, d: str, *more: str) -> DataFrame:
     return timestamps.resolve(news, "publish_time", "source", read_table(spark, d, "feeds"))
 
 
+#: p3_found feeds its batches to the store in this many calls, whole batches each.
+ROUNDS = 4
+
+
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
-    rows = _news_instants(spark, d, "news_id")
-    rows = materialize(rows.select("seq", message_key("news_id", "epoch_us", "publish_time").alias("message")).filter("message is not null"), "arrivals")
-    shards = max(64, rows.count() // 2_000_000)
+    """The batches of news go to a new store in order of batch_no, in ROUNDS calls of like size."""
+    rows = _news_instants(spark, d, "news_id", "batch_no")
+    message = message_key("news_id", "epoch_us", "publish_time").alias("message")
+    rows = materialize(rows.select("seq", "batch_no", message).filter("message is not null"), "arrivals")
+    batches = rows.groupBy("batch_no").count().orderBy(F.col("batch_no").asc_nulls_first()).collect()
+    total, done, calls = sum(r["count"] for r in batches), 0, {}
+    for r in batches:
+        calls.setdefault(done * ROUNDS // total, []).append(r["batch_no"])
+        done += r["count"]
     path = f"{shared_dir(spark)}/seen-{uuid.uuid4().hex}"
     delete_at_exit(spark, path)
-    store = messages.SeenStore(spark, path, shards)
-    return store.add(rows, F.col("message"), "seq").select(F.col("kept").alias("kept_seq"), F.col("dup").alias("dup_seq"))
+    store = messages.SeenStore(spark, path, max(64, total // 2_000_000))
+    dups = None
+    for k, some in calls.items():
+        # the table is sorted out by whole ranges of batch numbers; null counts as the lowest
+        high = F.coalesce(F.col("batch_no"), F.lit(-1 << 63)).between(*((-1 << 63) if x is None else x for x in (some[0], some[-1])))
+        one = store.add(rows.filter(high), F.col("message"), "seq", token=str(k))
+        dups = one if dups is None else dups.unionByName(one)
+    if dups is None:
+        return rows.select(F.col("seq").alias("kept_seq"), F.col("seq").alias("dup_seq"))
+    return store.kept(dups).select(F.col("kept").alias("kept_seq"), F.col("dup").alias("dup_seq"))
 
 
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
