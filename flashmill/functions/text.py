@@ -9,10 +9,14 @@ from pyspark.sql import functions as F
 
 #: Datelines and phrases as the news sources write them.
 DATELINES = [
-    r"^金十数据\s*(?:\d{1,2}月\d{1,2}|\d{4}-\d{2}-\d{2})日讯[，,、\s]*",
-    r"^财联社\s*(?:\d{1,2}月\d{1,2}|\d{4}-\d{2}-\d{2})日电[，,、\s]*",
-    r"^人民财讯\s*(?:\d{1,2}月\d{1,2}|\d{4}-\d{2}-\d{2})日电[，,、\s]*",
-    r"^新华社\s*(?:\d{1,2}月\d{1,2}|\d{4}-\d{2}-\d{2})日电[，,、\s]*",
+    r"^金十数据\s*\d{1,2}月\d{1,2}日讯[，,、\s]*",
+    r"^金十数据\s*\d{4}-\d{2}-\d{2}日讯[，,、\s]*",
+    r"^财联社\s*\d{1,2}月\d{1,2}日电[，,、\s]*",
+    r"^财联社\s*\d{4}-\d{2}-\d{2}日电[，,、\s]*",
+    r"^人民财讯\s*\d{1,2}月\d{1,2}日电[，,、\s]*",
+    r"^人民财讯\s*\d{4}-\d{2}-\d{2}日电[，,、\s]*",
+    r"^新华社\s*\d{1,2}月\d{1,2}日电[，,、\s]*",
+    r"^新华社\s*\d{4}-\d{2}-\d{2}日电[，,、\s]*",
 ]
 PROMOTIONS = [r"\(?金十数据APP\)?$", r"打开金十数据APP.*$", r"扫码查看.*$", r"^\d+订阅\s*"]
 TITLE_BRACKETS = "【】[]"
@@ -90,17 +94,24 @@ def normalize_news_text(x: Column) -> Column:
     return F.regexp_replace(x, r"[^\p{L}\p{N}_]+", "")
 
 
+def _with(values: dict[str, Column], body) -> Column:
+    """body(struct of values), each value evaluated once however often body names it."""
+    return F.get(F.transform(F.array(F.struct(*[v.alias(k) for k, v in values.items()])), body), F.lit(0))
+
+
 def dedup_key(title: Column, content: Column, source: Column, time: Column) -> Column:
     """SHA-1 of the normalised title and content; of source and time where both are empty."""
-    t, c = normalize_news_text(title), normalize_news_text(content)
-    other = F.concat(normalize_news_text(source), F.lit("\n"), normalize_news_text(time))
-    basis = F.when((t != "") & (c != ""), F.concat(t, F.lit("\n"), c)).when(t != "", t).when(c != "", c).otherwise(other)
-    return F.sha1(basis)
+
+    def basis(x: Column) -> Column:
+        t, c = x["t"], x["c"]
+        other = F.concat(normalize_news_text(source), F.lit("\n"), normalize_news_text(time))
+        return F.when((t != "") & (c != ""), F.concat(t, F.lit("\n"), c)).when(t != "", t).when(c != "", c).otherwise(other)
+
+    return F.sha1(_with({"t": normalize_news_text(title), "c": normalize_news_text(content)}, basis))
 
 
 def combined_text(title: Column, content: Column) -> Column:
-    t, c = normalize_news_text(title), normalize_news_text(content)
-    return F.when(t == c, c).otherwise(F.concat(t, c))
+    return _with({"t": normalize_news_text(title), "c": normalize_news_text(content)}, lambda x: F.when(x["t"] == x["c"], x["c"]).otherwise(F.concat(x["t"], x["c"])))
 
 
 def first_text(*columns: Column) -> Column:

@@ -91,26 +91,33 @@ def _all_chars() -> Iterator[tuple[int, str]]:
 @lru_cache(1)
 def category_masks() -> dict[str, np.ndarray]:
     """Boolean tables: letter, number, alnum (Unicode L and N), space, digit (decimal)."""
-    out = {k: np.zeros(TABLE_SIZE + 1, bool) for k in ("letter", "number", "space", "digit")}
+    out = {k: np.zeros(TABLE_SIZE + 2, bool) for k in ("letter", "number", "space", "digit")}
     for c, ch in _all_chars():
         k = unicodedata.category(ch)
         out["letter"][c] = k[0] == "L"
         out["number"][c] = k[0] == "N"
         out["digit"][c] = k == "Nd"
         out["space"][c] = ch.isspace()
-    out["letter"][TABLE_SIZE] = True  # what lies beyond counts as a letter (CJK extensions)
+    out["letter"][TABLE_SIZE] = True  # the third plane: CJK extensions; what lies beyond are tags, selectors and private characters
     out["alnum"] = out["letter"] | out["number"]
     return out
 
 
 def has(mask: np.ndarray, codes: np.ndarray) -> np.ndarray:
-    return mask[np.minimum(codes, TABLE_SIZE)]
+    """mask of each code point; the two places after the table are for the third plane and for all beyond it."""
+    if len(codes) and codes.max() >= TABLE_SIZE:
+        codes = np.where(codes < TABLE_SIZE, codes, np.where(codes < 0x40000, TABLE_SIZE, TABLE_SIZE + 1))
+    return mask[codes]
 
 
 @lru_cache(1)
 def long_folds() -> dict[str, str]:
-    """Characters whose case folding is more than one character (such as the sharp s)."""
-    return {ch: ch.casefold() for c, ch in _all_chars() if len(ch.casefold()) > 1}
+    """Characters whose case folding is more than one character (such as the sharp s).
+
+    Not ligatures and other compatibility forms: what they differ in from their
+    letters is more than case.
+    """
+    return {ch: ch.casefold() for c, ch in _all_chars() if len(ch.casefold()) > 1 and not unicodedata.decomposition(ch).startswith("<")}
 
 
 @lru_cache(1)
@@ -136,7 +143,7 @@ def expand_folds(arr: pa.Array) -> pa.Array:
 
 @lru_cache(1)
 def _long_fold_mask() -> np.ndarray:
-    out = np.zeros(TABLE_SIZE + 1, bool)
+    out = np.zeros(TABLE_SIZE + 2, bool)
     for ch in long_folds():
         out[ord(ch)] = True
     return out
