@@ -4,7 +4,7 @@ Each line becomes an integer identifier (a 64-bit hash of the line without
 case, whitespace and digits). The documents of a source are dealt out over
 shards of bounded size; each shard concatenates its documents' line identifiers
 with unique separators, builds their suffix array and the lengths of common
-prefixes, and reports the blocks that span many of its documents. A line in a
+prefixes, and reports the longest blocks that span many of its documents. A line in a
 tenth of a source's documents is in a tenth of those of at least one shard, so
 the shards' reports hold every case; exact counts over all shards decide.
 
@@ -107,11 +107,12 @@ def suffix_array(ids: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return text, doc, sa, lcp
 
 
-def repeated_blocks(ids: np.ndarray, off: np.ndarray, least: int) -> list[tuple[int, int, int]]:
-    """(first line's identifier, lines, documents) of blocks of one or more lines that span least documents.
+def repeated_blocks(ids: np.ndarray, off: np.ndarray, least: int) -> list[tuple[list[int], int]]:
+    """(identifiers of its lines, documents) of each block of lines that spans least documents.
 
-    For each line that starts a block: the longest length with enough
-    documents. Separators and lines with nothing in them end a block.
+    Suffixes with a common prefix of some lines stand together in the suffix
+    array; for each suffix the longest such prefix that enough documents hold is
+    a block. Separators and lines with nothing in them end a block.
     """
     if not len(ids):
         return []
@@ -119,28 +120,26 @@ def repeated_blocks(ids: np.ndarray, off: np.ndarray, least: int) -> list[tuple[
     n_docs = len(off) - 1
     flat = np.full(len(text), 0)
     flat[text >= n_docs] = ids
-    out: dict[int, tuple[int, int]] = {}
-    length = 1
+    longest, many = np.zeros(len(sa), np.int64), np.zeros(len(sa), np.int64)
     live = np.ones(len(sa), bool)
+    length = 1
     while True:
-        start = np.concatenate([[True], lcp[1:] < length])
-        group = np.cumsum(start) - 1
-        ok = live & (flat[sa] != 0)
-        pair = np.unique(group[ok] * n_docs + doc[sa][ok])
+        last = sa + length - 1  # the block's last line must be one
+        live &= (last < len(text)) & (flat[np.minimum(last, len(text) - 1)] != 0)
+        group = np.cumsum(np.concatenate([[True], lcp[1:] < length])) - 1
+        pair = np.unique(group[live] * n_docs + doc[sa][live])
         docs = np.bincount(pair // n_docs, minlength=group[-1] + 1)
-        many = docs >= least
-        if not many.any():
-            break
-        head = np.flatnonzero(start)
-        for g in np.flatnonzero(many).tolist():
-            out[int(flat[sa[head[g]]])] = (length, int(docs[g]))
-        if length > 64:
+        live &= (docs >= least)[group]
+        if not live.any():
             break
-        live = ok & many[group]
-        nxt = sa + length
-        live &= (nxt < len(text)) & (flat[np.minimum(nxt, len(text) - 1)] != 0)
+        longest[live], many[live] = length, docs[group[live]]
         length += 1
-    return [(k, *v) for k, v in out.items()]
+    out: dict[tuple[int, ...], int] = {}
+    group = np.cumsum(np.concatenate([[True], (lcp[1:] < longest[1:]) | (longest[1:] != longest[:-1])])) - 1
+    head = np.unique(group, return_index=True)[1]
+    for i in head[longest[head] > 0].tolist():
+        out[tuple(flat[sa[i] : sa[i] + longest[i]].tolist())] = int(many[i])
+    return [(list(k), v) for k, v in out.items()]
 
 
 def _shard(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -151,9 +150,8 @@ def _shard(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordB
     ids = lists.flatten().to_numpy(zero_copy_only=False)
     least = max(1, int(np.ceil(MIN_SHARE * (len(off) - 1) - 1e-9)))
     found = repeated_blocks(ids, off, least)
-    cols = list(zip(*found)) if found else [[], [], []]
     yield pa.RecordBatch.from_arrays(
-        [pa.array([key[0].as_py()] * len(found), pa.string()), *[pa.array(c, pa.int64()) for c in cols]], ["_source", "_line", "_length", "_docs"]
+        [pa.array([key[0].as_py()] * len(found), pa.string()), pa.array([k for k, _ in found], pa.list_(pa.int64())), pa.array([v for _, v in found], pa.int64())], ["_source", "_block", "_docs"]
     )
 
 
@@ -165,18 +163,20 @@ def line_table(df: DataFrame, id_col: str, source: str, text: str) -> DataFrame:
 
 
 def block_candidates(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(blocks, rows per source): what the shards report."""
+    """(blocks: _source, _block, _docs; rows per source): what the shards report."""
     sizes = materialize(lines.groupBy("_source").agg(F.count(F.lit(1)).alias("_rows")), "source-rows")
     shards = F.ceil(F.col("_rows") / SHARD_ROWS).cast("int")
     dealt = lines.join(sizes.select("_source", shards.alias("_shards")), "_source").select("_source", F.pmod(F.xxhash64("_id"), F.col("_shards")).alias("_shard"), "_lines")
-    blocks = dealt.groupBy("_source", "_shard").applyInArrow(_shard, "_source string, _line long, _length long, _docs long")
+    blocks = dealt.groupBy("_source", "_shard").applyInArrow(_shard, "_source string, _block array<long>, _docs long")
     return materialize(blocks, "blocks"), sizes
 
 
 def repeated_lines(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(occurrences: _id, _source, _no, _line; repeated: _source, _line, _docs) with exact counts over all rows."""
+    """(occurrences: _id, _source, _no, _line; repeated: _source, _line, _docs): the lines of the shards' blocks, with exact counts over all rows."""
     blocks, sizes = block_candidates(lines)
-    cand = materialize(blocks.groupBy("_source").agg(F.collect_set("_line").alias("_cand")), "candidates")
+    # at most ten lines of a document's length for each shard: each stands in a tenth of the shard's documents
+    cand = blocks.select("_source", F.explode("_block").alias("_line")).groupBy("_source").agg(F.collect_set("_line").alias("_cand"))
+    cand = materialize(cand, "candidates")
     at = F.transform("_lines", lambda x, i: F.struct((i + 1).cast("long").alias("no"), x.alias("line"), (F.array_position("_lines", x) == i + 1).alias("first")))
     hits = lines.join(cand, "_source").filter(F.arrays_overlap("_lines", "_cand")).select("_id", "_source", F.explode(F.filter(at, lambda x: F.array_contains("_cand", x["line"]))).alias("_x"))
     hits = materialize(hits.select("_id", "_source", F.col("_x.no").alias("_no"), F.col("_x.line").alias("_line"), F.col("_x.first").alias("_first")), "hits")

@@ -23,12 +23,16 @@ from flashmill.kernel import DELETE, TABLE_SIZE, _all_chars, keep, lookup, owner
 #: Cyrillic and Greek letters that look like a Latin letter.
 LOOKALIKES = dict(
     zip(
-        "АВЕКМНОРСТХУЅІЈаеорсухѕіј" + "ΑΒΕΖΗΙΚΜΝΟΡΤΥΧο" + "ԁһԛԝӏ",
-        "ABEKMHOPCTXYSIJaeopcyxsij" + "ABEZHIKMNOPTYXo" + "dhqwl",
+        "АВЕКМНОРСТХУЅІЈаеорсухѕіј" + "ΑΒΕΖΗΙΚΜΝΟΡΤΥΧο" + "ԁһԛԝӏ" + "αγικνρυϲϹϳͿ" + "ӀԚԜҮүҒѵѴ",
+        "ABEKMHOPCTXYSIJaeopcyxsij" + "ABEZHIKMNOPTYXo" + "dhqwl" + "ayikvpucCjJ" + "IQWYyFvV",
     )
 )
-#: Characters without a glyph of their own.
-INVISIBLE = "\u00ad\u034f\u061c\u180e\u200b\u200c\u200d\u200e\u200f\u202a\u202b\u202c\u202d\u202e\u2060\u2061\u2062\u2063\u2064\ufeff" + "".join(map(chr, range(0xFE00, 0xFE10)))
+#: Ranges of the characters without a glyph of their own (Unicode's default ignorable code points).
+IGNORABLE = [
+    (0x00AD, 0x00AD), (0x034F, 0x034F), (0x061C, 0x061C), (0x115F, 0x1160), (0x17B4, 0x17B5), (0x180B, 0x180F), (0x200B, 0x200F), (0x202A, 0x202E), (0x2060, 0x206F),
+    (0x3164, 0x3164), (0xFE00, 0xFE0F), (0xFEFF, 0xFEFF), (0xFFA0, 0xFFA0), (0xFFF0, 0xFFF8), (0x1BCA0, 0x1BCA3), (0x1D173, 0x1D17A), (0xE0000, 0xE0FFF),
+]
+INVISIBLE = frozenset(chr(c) for a, b in IGNORABLE for c in range(a, b + 1))
 UNSTABLE = 0xFFFFFFFE
 
 
@@ -65,7 +69,7 @@ def _segments() -> re.Pattern:
     return re.compile(f"[^{cls}]?[{cls}]+")
 
 
-_drop_invisible = str.maketrans("", "", INVISIBLE)
+_drop_invisible = dict.fromkeys(map(ord, INVISIBLE))
 
 
 @lru_cache(65536)
@@ -82,6 +86,8 @@ def looks(arr: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(code points, offsets) of the canonical forms of a string array; null is ''."""
     codes, off = to_codes(arr)
     out = lookup(looks_table(), codes)
+    if len(codes) and codes.max() >= 0xE0000:
+        out = np.where((codes >= 0xE0000) & (codes <= 0xE0FFF), np.uint32(DELETE), out)
     bad = out == UNSTABLE
     if bad.any():
         rows = np.unique(owner(off)[np.flatnonzero(bad)])

@@ -9,8 +9,8 @@ LINES = r"""WITH l AS (SELECT seq, source, unnest(string_split(content, chr(10))
   s AS (SELECT source, count(*) AS n FROM news GROUP BY source),
   g AS (SELECT source, key FROM k JOIN s USING (source) WHERE key <> '' GROUP BY source, key, n HAVING count(DISTINCT seq) >= 5 AND count(DISTINCT seq) * 10 >= n)"""
 
-#: Letters and digits of a text; letters whose case folding is two letters are written out.
-_FORM = r"regexp_replace(lower(replace(replace(replace(coalesce({x}, ''), 'ß', 'ss'), 'ﬁ', 'fi'), 'ﬂ', 'fl')), '[^\p{{L}}\p{{N}}]+', '', 'g')"
+#: Letters and digits of a text; the sharp s, whose capital form is SS, is written out.
+_FORM = r"regexp_replace(lower(replace(coalesce({x}, ''), 'ß', 'ss')), '[^\p{{L}}\p{{N}}]+', '', 'g')"
 _PIECES = r"list_filter(regexp_split_to_array(coalesce(content, ''), '[;；|\n\r]'), lambda p: regexp_matches(p, '[^\t\n\x0B\f\r\x1C-\x1F\x85\p{Z}]'))"
 FORMS = f"""WITH p AS (SELECT seq, {_FORM.format(x='title')} AS t, {_FORM.format(x='content')} AS c, {_PIECES} AS ps FROM news),
   f AS (SELECT seq, t, c, CASE WHEN len(ps) >= 2 AND len(list_filter(ps, lambda p: NOT (contains(p, ':') OR contains(p, '：')))) = 0
