@@ -1,117 +1,100 @@
 """Event extraction with an ontology: longest-first triggers, reversal, degree, commodities, summaries.
 
-One automaton pass finds which triggers occur in a text; the rest is inside the
-JVM. A fold over the triggers that occur in a text replaces each
-match by one private-use character (its trigger's number), longest triggers
-first, so that a later, shorter one can't match inside it; positions follow
-from the lengths of the pieces between the marks.
+Triggers, reversals and degrees of a batch of texts are found in one Arrow
+kernel: an automaton tells which triggers occur in a text; those, longest
+first, take their places, so that a later, shorter one can't match inside them;
+then only the few characters around each match are looked at. Texts may hold
+any characters, private-use ones included. A null text is ''.
 """
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flashmill.functions.text import first_text
-from flashmill.operators.lexicon import MARK, Ontology, longest_first, occurring, words_literal
+from flashmill.operators.lexicon import Ontology, automaton, longest_first, words_literal
 
-MARKS = "[\ue000-\uf8ff]"
 NEAR, GAP, NEGATION, DEGREE = 12, 4, 3, 15
 EVENT = (
     "struct<event_type:string,event_type_name:string,direction:string,direction_cn:string,degree:string,degree_cn:string,trigger_word:string,"
     "reversed:boolean,reversal_word:string,degree_word:string,position:int>"
 )
+_FIELDS = [(c, {"reversed": pa.bool_(), "position": pa.int32()}.get(c, pa.string())) for c in (f.split(":")[0] for f in EVENT[7:-1].split(","))]
+DIRECTIONS, LEVELS = {"bullish": "利多", "bearish": "利空"}, {"strong": "强", "uncertain": "不确定", "moderate": "中"}
 
 
 def stripped(x: Column) -> Column:
-    return F.btrim(F.coalesce(x, F.lit("")), F.lit(" \t\r\n\u3000\u00a0"))
-
-
-def marked(text: Column, present: Column, o: Ontology) -> Column:
-    """text with each trigger match as one mark; present: numbers of the triggers that occur, by rank."""
-    if not o.ranked:
-        return text
-    words = F.array(*[F.struct(F.lit(t.word).alias("w"), F.lit(chr(MARK + i)).alias("m")) for i, t in enumerate(o.ranked)])
-    return F.aggregate(F.transform(present, lambda i: F.element_at(words, i + 1)), text, lambda acc, x: F.replace(acc, x["w"], x["m"]))
-
-
-def _first(words: Column, cond) -> Column:
-    return F.coalesce(F.get(F.filter(words, cond), F.lit(0)), F.lit(""))
-
-
-def _turned(t: Column, s: Column, e: Column, o: Ontology) -> Column:
-    """The word that reverses the trigger at [s, e), '' if none does."""
-    ws = F.greatest(F.lit(0), s - NEAR)
-    win = F.substring(t, ws + 1, e - ws)
-
-    def before(p: Column) -> Column:
-        back = F.instr(F.reverse(win), F.reverse(p))
-        start = ws + F.length(win) - F.length(p) - (back - 1)
-        gap = s - (start + F.length(p))
-        return (back > 0) & (gap.between(0, GAP) | ((start <= s) & (s <= start + F.length(p))))
-
-    ahead = F.substring(t, s + 1, e - s + NEAR)
-
-    def after(p: Column) -> Column:
-        at = F.instr(ahead, p)
-        start = s + at - 1
-        return (at > 0) & ((start - e).between(0, GAP) | ((start <= e) & (e <= start + F.length(p))))
-
-    ns = F.greatest(F.lit(0), s - NEGATION)
-    close = F.substring(t, ns + 1, s - ns)
-    one = _first(words_literal(longest_first(o.before)), before)
-    two = _first(words_literal(longest_first(o.after)), after)
-    three = _first(words_literal(sorted(set(o.negations), key=lambda w: (-len(w), w))), lambda p: F.contains(close, p))
-    return F.when(one != "", one).when(two != "", two).otherwise(three)
-
-
-def _degree(t: Column, s: Column, e: Column, o: Ontology) -> Column:
-    bs = F.greatest(F.lit(0), s - DEGREE)
-    pre, post = F.substring(t, bs + 1, s - bs), F.substring(t, e + 1, F.lit(DEGREE))
-    words = F.array(*[F.struct(F.lit(a).alias("level"), F.lit(b).alias("place"), F.lit(w).alias("word")) for a, b, w in o.degree_words()])
-    hit = F.filter(words, lambda x: F.contains(F.when(x["place"] == "prefix", pre).otherwise(post), x["word"]))
-    return F.coalesce(F.get(hit, F.lit(0)), F.struct(F.lit("moderate").alias("level"), F.lit("none").alias("place"), F.lit("").alias("word")))
+    """x without white space of any kind at its ends; null is ''."""
+    space = r"[\p{IsWhite_Space}\x1C-\x1F]+"
+    return F.regexp_replace(F.coalesce(x, F.lit("")), f"^{space}|{space}$", "")
+
+
+class Rules:
+    """An ontology's word lists in the order they are tried."""
+
+    def __init__(self, o: Ontology):
+        self.triggers = o.ranked
+        self.words = tuple(t.word for t in o.ranked)
+        self.before, self.after = longest_first(o.before), longest_first(o.after)
+        self.negations = sorted(set(o.negations), key=lambda w: (-len(w), w))
+        self.degrees = o.degree_words()
+
+    def matches(self, text: str) -> list[tuple[int, int]]:
+        """(start, number) of the triggers in a text, by start."""
+        found = sorted({i for _, i in automaton(self.words).iter(text)})
+        out, left = [], text
+        for i in found:
+            w = self.words[i]
+            at = left.find(w)
+            while at >= 0:
+                out.append((at, i))
+                at = left.find(w, at + len(w))
+            left = left.replace(w, "\0" * len(w))
+        return sorted(out)
+
+    def turn(self, t: str, s: int, e: int) -> str:
+        """The word that reverses the trigger at [s, e), '' if none does."""
+        a = max(0, s - NEAR)
+        back, ahead, close = t[a:e], t[s : e + NEAR], t[max(0, s - NEGATION) : s]
+        for p in self.before:
+            at = back.rfind(p)
+            if at >= 0 and (0 <= s - (a + at + len(p)) <= GAP or a + at <= s <= a + at + len(p)):
+                return p
+        for p in self.after:
+            at = ahead.find(p)
+            if at >= 0 and (0 <= s + at - e <= GAP or s + at <= e <= s + at + len(p)):
+                return p
+        return next((p for p in self.negations if p in close), "")
+
+    def degree(self, t: str, s: int, e: int) -> tuple[str, str]:
+        """(level, word) of the first degree word close to the trigger."""
+        pre, post = t[max(0, s - DEGREE) : s], t[e : e + DEGREE]
+        return next(((level, w) for level, place, w in self.degrees if w in (pre if place == "prefix" else post)), ("moderate", ""))
+
+    def events(self, text: str) -> list[dict]:
+        out = []
+        for s, i in self.matches(text):
+            x, e = self.triggers[i], s + len(self.words[i])
+            turn, (level, word) = self.turn(text, s, e), self.degree(text, s, e)
+            way = "bullish" if (x.direction == "bullish") != (turn != "") else "bearish"
+            level = "moderate" if level == "weakening" else level
+            values = (x.event_type, x.type_name, way, DIRECTIONS[way], level, LEVELS[level], x.word, turn != "", turn, word, s)
+            out.append(dict(zip((c for c, _ in _FIELDS), values)))
+        return out
 
 
 def with_events(df: DataFrame, text: Column, o: Ontology) -> DataFrame:
     """df with _text (stripped) and _events (array of EVENT, by position)."""
-    d = df.withColumn("_text", stripped(text)).withColumn("_present", occurring(F.col("_text"), [t.word for t in o.ranked]))
-    d = d.withColumn("_marked", marked(F.col("_text"), F.col("_present"), o))
-    d = d.withColumn("_codes", F.regexp_extract_all("_marked", F.lit(f"({MARKS})"), 1))
-    info = F.array(*[F.struct(F.lit(t.word).alias("word"), F.lit(t.event_type).alias("type"), F.lit(t.type_name).alias("name"), F.lit(t.direction).alias("dir")) for t in o.ranked])
-    pieces = F.transform(F.split("_marked", MARKS, -1), lambda p: F.length(p))
-    d = d.withColumn("_hits", F.transform("_codes", lambda c: F.element_at(info, F.ascii(c) - MARK + 1)))
-    total = lambda arr, n: F.aggregate(F.slice(arr, 1, n), F.lit(0), lambda a, x: a + x)
-    d = d.withColumn("_lens", pieces).withColumn("_wl", F.transform("_hits", lambda h: F.length(h["word"])))
-    d = d.withColumn("_at", F.transform("_hits", lambda h, i: F.struct(h.alias("h"), (total(F.col("_lens"), i + 1) + F.when(i > 0, total(F.col("_wl"), F.greatest(i, F.lit(1)))).otherwise(0)).alias("s"))))
-
-    def event(x: Column) -> Column:
-        h, s = x["h"], x["s"]
-        e = s + F.length(h["word"])
-        t = F.col("_text")
-        turn, deg = _turned(t, s, e, o), _degree(t, s, e, o)
-        return F.struct(h.alias("h"), s.alias("s"), turn.alias("turn"), deg.alias("deg"))
-
-    def row(x: Column) -> Column:
-        h, turn, deg = x["h"], x["turn"], x["deg"]
-        bull = (h["dir"] == "bullish") != (turn != "")
-        level = F.when(deg["level"] == "weakening", "moderate").otherwise(deg["level"])
-        return F.struct(
-            h["type"].alias("event_type"),
-            h["name"].alias("event_type_name"),
-            F.when(bull, "bullish").otherwise("bearish").alias("direction"),
-            F.when(bull, "利多").otherwise("利空").alias("direction_cn"),
-            level.alias("degree"),
-            F.when(level == "strong", "强").when(level == "uncertain", "不确定").otherwise("中").alias("degree_cn"),
-            h["word"].alias("trigger_word"),
-            (turn != "").alias("reversed"),
-            turn.alias("reversal_word"),
-            deg["word"].alias("degree_word"),
-            x["s"].cast("int").alias("position"),
-        )
-
-    d = d.withColumn("_raw", F.transform("_at", event)).withColumn("_events", F.transform("_raw", row))
-    return d.drop("_present", "_marked", "_codes", "_hits", "_lens", "_wl", "_at", "_raw")
+    rules = Rules(o)
+
+    @F.arrow_udf(f"array<{EVENT}>")
+    def find(x: pa.Array) -> pa.Array:
+        return pa.array([rules.events(t) if t and rules.words else [] for t in x.to_pylist()], pa.list_(pa.struct(_FIELDS)))
+
+    d = df.withColumn("_text", stripped(text))
+    return d.withColumn("_events", find("_text"))
 
 
 def commodities_of(text: Column, o: Ontology) -> Column:

@@ -58,8 +58,6 @@ FIGURATIVE = [
     "黄金窗口", "黄金大通道", "黄金时代", "黄金期", "黄金周", "黄金档", "黄金时段", "黄金年龄", "黄金法则", "黄金标准",
     "黄金搭档", "黄金分割", "黄金比例", "黄金水道", "黄金航道", "黄金线路", "黄金航线", "黄金赛道", "黄金发展", "黄金增长",
 ]
-#: First character of the private use area: a match is replaced by one such character, its trigger's number.
-MARK = 0xE000
 
 
 def longest_first(words: list[str]) -> list[str]:
@@ -109,7 +107,7 @@ def read_words(df: DataFrame, *columns: str) -> list[tuple]:
 
 
 @lru_cache(16)
-def _automaton(words: tuple[str, ...]):
+def automaton(words: tuple[str, ...]):
     import ahocorasick
 
     a = ahocorasick.Automaton()
@@ -125,7 +123,7 @@ def occurring(text: Column, words: list[str]) -> Column:
 
     @F.arrow_udf(ArrayType(IntegerType()))
     def find(x: pa.Array) -> pa.Array:
-        a = _automaton(known)
+        a = automaton(known)
         return pa.array([sorted({i for _, i in a.iter(t)}) if t else [] for t in x.to_pylist()], pa.list_(pa.int32()))
 
     return find(text) if known else F.array().cast("array<int>")

@@ -63,7 +63,7 @@ RANKED = f"""ranked AS (SELECT *, row_number() OVER (ORDER BY length(word) DESC,
       UNION ALL SELECT word, 'price_move', '价格变动', CASE WHEN polarity = 'positive' THEN 'bullish' ELSE 'bearish' END, 1000000 + row_number() OVER (ORDER BY word) FROM ({SEEDS}))
     WHERE word <> '' GROUP BY word)),
   wl AS (SELECT list(word || chr(1) || chr(CAST(57343 + rk AS INTEGER)) ORDER BY rk) AS l FROM ranked)"""
-TRIM = "' ' || chr(9) || chr(13) || chr(10) || chr(12288) || chr(160)"
+TRIM = " || ".join(f"chr({c})" for c in (*range(9, 14), *range(28, 33), 133, 160, 5760, *range(8192, 8203), 8232, 8233, 8239, 8287, 12288))
 
 
 def marked(text: str) -> str:
