@@ -272,8 +272,7 @@ def search(p: Passages, texts: pa.Array) -> list[tuple[int, int, int]]:
     for shift in (0, 1):
         cell = (diag + (1 << 30) + shift * (width // 2)) // width
         most = np.maximum(most, _counts(which << 31 | cell))
-    live = np.unique(which[most >= p.need[item]])
-    ok = np.isin(which, live)
+    ok = most >= p.need[item]
     which, place, diag = which[ok], place[ok], diag[ok]
     order = np.lexsort((place, diag, which))
     which, place, diag = which[order], place[order], diag[order]
@@ -298,9 +297,9 @@ def search(p: Passages, texts: pa.Array) -> list[tuple[int, int, int]]:
 
 
 def _counts(key: np.ndarray) -> np.ndarray:
-    """For each element how often its value occurs."""
-    _, at, n = np.unique(key, return_inverse=True, return_counts=True)
-    return n[at]
+    """For each element how often its value occurs, or more: values are counted by their hash."""
+    cell = (_mix(key.astype(np.uint64) * _MUL) >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
+    return np.bincount(cell, minlength=1 << FILTER_BITS)[cell]
 
 
 def _chains(runs: np.ndarray, need: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -388,7 +387,7 @@ def _inside(pattern: np.ndarray, text: np.ndarray) -> int:
 def _batches(blocks: list[Passages]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in pieces(batch, 1, 3 << 20):
+            for part in pieces(batch, 1, 5 << 20):
                 rows, items, runs = [], [], []
                 for p in blocks:
                     for r, i, n in search(p, part.column(1)):
