@@ -7,8 +7,8 @@
    smallest exponential draw over its weight (one-permutation weighted
    min-hash), together with the sixth of the text it stands in. Weights fall
    with a gram's commonness in a bounded sample; grams the sample doesn't hold
-   weigh little, as edits make such grams. ROUTES of the slots' grams, the
-   rarest known ones first, are the node's routes.
+   weigh little, as edits make such grams. The rarest known grams among the
+   slots', and those of the others with the smallest hashes, are the node's routes.
 3. Routes deal the nodes out over shards by gram. In a shard each segment (the
    nodes of a range of batches) is a navigable small-world graph: a node is
    linked to the most similar of the nodes at power-of-two distances in its
@@ -57,17 +57,20 @@ TABLE_BITS = 22
 #: Characters of a gram: of ideographs and kana, of other scripts.
 WIDE, NARROW = 3, 4
 SLOTS = 64
-ROUTES = 12
-#: Weight of a gram no sampled text holds; the others' is (1 + texts) ** -0.5.
+#: Routes of a text: its rarest slots' grams, and of the others those of the smallest hash however common they are. The first keep lists
+#: short; the second are what variants of a text that fills much of the table still share, where grams of their own edits are the rarest.
+RARE, FIXED = 9, 4
+ROUTES = RARE + FIXED
+#: Weight of a gram that not even two sampled texts hold; the others' is (1 + texts) ** -0.5.
 UNKNOWN = 0.02
-#: Routes: grams of up to KNOWN sampled texts are alike; an unknown gram ranks as if AS_KNOWN texts held it.
-KNOWN, AS_KNOWN = 16, 128
+#: Routes: grams of up to KNOWN sampled texts are alike; an unknown gram ranks as if AS_KNOWN texts held it, after all known ones.
+KNOWN, AS_KNOWN = 16, 1 << 30
 #: A slot's gram counts with the part of the text it stands in, so that shared phrases elsewhere don't.
 PARTS = 6
 #: Routed entries in one shard.
 SHARD_ENTRIES = 100_000
 #: Lists up to SCAN are compared whole, longer ones by beams.
-SCAN = 256
+SCAN = 512
 BEAM, ENTRIES, LINKS, ROUNDS = 12, 8, 8, 6
 #: A query's search of a shard ends with its WIDTH nodes of most slots in common.
 WIDTH = 8
@@ -138,18 +141,21 @@ def sketch(codes: np.ndarray, off: np.ndarray, common: np.ndarray) -> tuple[np.n
     half = np.where(gram == 0, np.arange(SLOTS, dtype=np.uint64), _mix((gram + part) * _MUL)) & np.uint64(15)
     sig = np.bitwise_or.reduce(half.reshape(n, SLOTS // 16, 16) << (np.arange(16, dtype=np.uint64) * np.uint64(4)), 2)
     rank = np.where(gram == 0, 255, _CLASS[common[(gram & _LOW).astype(np.int64)]]).astype(np.int64) * SLOTS + np.arange(SLOTS)
-    order = np.argsort(rank, 1)[:, :ROUTES]
-    return sig, np.take_along_axis(gram, order, 1).view(np.int64)
+    order = np.argsort(rank, 1)
+    rest = np.take_along_axis(gram, order[:, RARE:], 1)
+    by_hash = np.argsort(np.where(rest == 0, ~np.uint64(0), _mix(rest * _B)), 1)[:, :FIXED]
+    return sig, np.concatenate([np.take_along_axis(gram, order[:, :RARE], 1), np.take_along_axis(rest, by_hash, 1)], 1).view(np.int64)
 
 
 def commonness(contents: pa.Array) -> np.ndarray:
-    """A byte per gram hash modulo the table size: 0 where no text of a sample holds the gram, else about 8 * log2(1 + texts that do)."""
+    """A byte per gram hash modulo the table size: 0 where not even two texts of a sample hold the gram, else about 8 * log2(1 + texts that do)."""
     out = np.zeros(1 << TABLE_BITS, np.float32)
     for a in range(0, len(contents), 500):  # the driver's memory
         codes, off = form_codes(*looks(expand_folds(contents.slice(a, 500))))
         h, doc, _ = grams(codes, off)
         key = uniq((doc.astype(np.uint64) << np.uint64(TABLE_BITS)) | (h & _LOW))
         np.add.at(out, (key & _LOW).astype(np.int64), 1)
+    out[out < 2] = 0  # what only one sampled text holds may be its own edit
     return np.rint(8 * np.log2(1 + out)).astype(np.uint8)
 
 
@@ -159,7 +165,7 @@ class Packer:
     def __init__(self, sample: bytes):
         d = zstandard.ZstdCompressionDict(sample, dict_type=zstandard.DICT_TYPE_RAWCONTENT) if sample else None
         if d:
-            d.precompute_compress(level=3)
+            d.precompute_compress(level=6)
         self.out, self.into = zstandard.ZstdDecompressor(dict_data=d), zstandard.ZstdCompressor(dict_data=d) if d else zstandard.ZstdCompressor()
 
     def pack(self, texts: pa.Array) -> pa.Array:
@@ -476,8 +482,8 @@ def fit(texts: DataFrame, column: str, id_col: str) -> tuple[np.ndarray, bytes]:
     if not len(got):
         return np.zeros(1 << TABLE_BITS, np.uint8), b""
     common = commonness(got)
-    some = to_strings(*form_codes(*looks(expand_folds(got.slice(0, 400))))).to_pylist()
-    return common, "".join(some).encode()[: 1 << 16]
+    some = to_strings(*form_codes(*looks(expand_folds(got.slice(0, 2000))))).to_pylist()
+    return common, "".join(some).encode()[: 1 << 18]
 
 
 def within(a: str, b: str, k: int) -> bool:
@@ -741,10 +747,8 @@ def _compare_batches(sample: bytes):
 
 def decide(pairs: DataFrame, texts: DataFrame, n_pairs: int, sample: bytes) -> DataFrame:
     """Written table of _q, _pb: the pairs (_q, _p, _pb) whose texts are within MAX_EDITS."""
-    ends = pairs.select(F.explode(F.array("_q", "_p")).alias("_node"))
-    texts = materialize(maybe_in(texts, "_node", ends, "_node", 2 * n_pairs), "texts")
-    j = pairs.join(texts.select(F.col("_node").alias("_p"), F.col("_text").alias("_tp")), "_p")
-    j = j.join(texts.select(F.col("_node").alias("_q"), F.col("_text").alias("_tq")), "_q")
+    one = lambda side, name: maybe_in(texts, "_node", pairs, side, n_pairs).select(F.col("_node").alias(side), F.col("_text").alias(name))
+    j = pairs.join(one("_p", "_tp"), "_p").join(one("_q", "_tq"), "_q")
     return materialize(j.select("_q", "_pb", "_tq", "_tp").mapInArrow(_compare_batches(sample), "_q long, _pb long"), "decided")
 
 
@@ -856,11 +860,15 @@ class HistoryIndex:
         state["graphs"].append(self._write(out, "graphs"))
         state["entries"] += total * ROUTES
         pairs = self._read(state["graphs"][-1:]).filter("_q is not null").select("_q", "_p", "_pb", "_s")
-        top = materialize(pairs.groupBy("_q").agg(F.max(F.struct("_s", "_p", "_pb")).alias("_m")).select("_q", "_m._p", "_m._pb"), "top")
+        # of each query at most WIDTH from each of its shards, the most similar first
+        found = pairs.groupBy("_q").agg(F.sort_array(F.collect_set(F.struct("_s", "_p", "_pb")), asc=False).alias("_m"))
+        found = materialize(found, "found-near")
+        top = found.select("_q", F.col("_m")[0]["_p"].alias("_p"), F.col("_m")[0]["_pb"].alias("_pb"))
         stock = self._read(state["nodes"]).filter("_text is not null").select("_node", "_text")
-        yes = decide(top, stock, top.count(), sample)
-        rest = pairs.filter(F.col("_s") >= ALL_FROM).groupBy("_q", "_p").agg(F.min("_pb").alias("_pb"))
-        rest = materialize(rest.join(top, ["_q", "_p"], "left_anti").join(yes, "_q", "left_anti"), "rest")
+        yes = decide(top, stock, found.count(), sample)
+        more = found.filter(F.get("_m", F.lit(1))["_s"] >= ALL_FROM).join(yes, "_q", "left_anti")
+        rest = more.select("_q", F.explode(F.filter(F.slice("_m", 2, F.size("_m")), lambda x: x["_s"] >= ALL_FROM)).alias("_x"))
+        rest = materialize(rest.select("_q", "_x._p", "_x._pb"), "rest")
         yes = yes.unionByName(decide(rest, stock, rest.count(), sample))
         return yes.groupBy(F.col("_q").alias("_node")).agg(F.min("_pb").alias("_near"))
 
