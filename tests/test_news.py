@@ -160,3 +160,13 @@ def test_w2v_expand_does_the_operators_job(spark, monkeypatch):
     d = "/root/testdata/sf0.001"
     got = {tuple(r) for r in reference.w2v_expand(spark, d).select("word", "polarity").collect()}
     assert used == {} and got == {tuple(r) for r in reference.lexicon_merge(spark, d).collect()} and len(got) > 5
+
+
+def test_private_use_characters_are_no_triggers():
+    from flashmill.operators.events import Rules
+    from flashmill.operators.lexicon import Ontology, Trigger
+
+    rules = Rules(Ontology([Trigger("降息", "rate", "利率", "bullish"), Trigger("降息预期", "rate", "利率", "bullish")]))
+    assert rules.events("\ue000\ue5e5") == []
+    got = rules.events("\ue000央行降息\ue5e5，降息预期升温")
+    assert [(e["trigger_word"], e["position"]) for e in got] == [("降息", 3), ("降息预期", 7)]
