@@ -398,3 +398,20 @@ def test_suffixes_stand_in_order():
 
 def test_registered():
     assert {"p1_found", "p4_found", "p6_found", "p7_found", "p8_ids", "p9_found", "p10_found"} <= set(plans.queries())
+
+
+def test_blocks_rest_on_the_suffix_array(monkeypatch):
+    rnd = random.Random(22)
+    docs = [[rnd.randint(1, 40) for _ in range(rnd.randint(0, 6))] + ([101, 102, 103] if rnd.random() < 0.3 else []) + [rnd.randint(1, 40)] for _ in range(300)]
+    ids, off = np.array([x for d in docs for x in d]), np.concatenate([[0], np.cumsum([len(d) for d in docs])])
+    want = {x for x in set(ids.tolist()) if sum(x in d for d in docs) >= 30}
+    blocks = [b for b, _ in lines.repeated_blocks(ids, off, 30)]
+    assert [101, 102, 103] in blocks and {x for b in blocks for x in b} == want
+    whole = lines.suffix_array
+
+    def broken(*a):
+        text, doc, sa, lcp = whole(*a)
+        return text, doc, sa[::-1].copy(), lcp
+
+    monkeypatch.setattr(lines, "suffix_array", broken)
+    assert {x for b, _ in lines.repeated_blocks(ids, off, 30) for x in b} != want
