@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flashmill.kernel import TABLE_SIZE, category_masks, has, pieces, to_codes
+from flashmill.kernel import category_masks, has, pieces, to_codes
 
 VOCABULARY = os.environ.get("FLASHMILL_TOKENIZERS", "/opt/tokenizers") + "/byte_bpe_50k.tiktoken"
 #: Distinct pieces a worker remembers.
@@ -220,7 +220,7 @@ def encoder(path: str) -> Encoder:
 def _classes() -> np.ndarray:
     """0 other, 1 letter, 2 number, 3 white space (property White_Space)."""
     m = category_masks()
-    out = np.zeros(TABLE_SIZE + 1, np.int8)
+    out = np.zeros(len(m["letter"]), np.int8)
     out[m["letter"]] = 1
     out[m["number"]] = 2
     out[m["space"]] = 3

@@ -118,6 +118,12 @@ def test_ids_equal_the_library(spark, library):
     assert [got[i] for i in range(len(xs))] == want and got[len(xs)] == got[len(xs) + 1] == []
 
 
+def test_every_plane_has_a_class(library):
+    xs = ["a", "a\U00030000b", "\U0003ffffx 1", "\U000e0001", "x\U0010fffd"]
+    got = tokens.encoder(tokens.VOCABULARY).encode(pa.array(xs)).to_pylist()
+    assert got == [e.ids for e in library.encode_batch(xs, add_special_tokens=False)]
+
+
 def test_perfect_hash():
     ranks = tokens.read_ranks(tokens.VOCABULARY)
     some = dict(list(ranks.items())[:5000])
