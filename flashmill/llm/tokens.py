@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flashmill.kernel import category_masks, has, pieces, to_codes
+from flashmill.kernel import TABLE_SIZE, category_masks, pieces, to_codes
 
 VOCABULARY = os.environ.get("FLASHMILL_TOKENIZERS", "/opt/tokenizers") + "/byte_bpe_50k.tiktoken"
 #: Distinct pieces a worker remembers.
@@ -216,15 +216,28 @@ def encoder(path: str) -> Encoder:
     return _encoders[path]
 
 
+#: Letters and numbers of Unicode 16, which the public pattern's tables know and Python 3.13's don't.
+LATER_LETTERS = (
+    (0x1C89, 0x1C8A), (0xA7CB, 0xA7CD), (0xA7DA, 0xA7DC), (0x105C0, 0x105F3), (0x10D4A, 0x10D65), (0x10D6F, 0x10D85), (0x10EC2, 0x10EC4), (0x11380, 0x11389),
+    (0x1138B, 0x1138B), (0x1138E, 0x1138E), (0x11390, 0x113B5), (0x113B7, 0x113B7), (0x113D1, 0x113D1), (0x113D3, 0x113D3), (0x11BC0, 0x11BE0), (0x13460, 0x143FA),
+    (0x16100, 0x1611D), (0x16D40, 0x16D6C), (0x18CFF, 0x18CFF), (0x1E5D0, 0x1E5ED), (0x1E5F0, 0x1E5F0),
+)
+LATER_NUMBERS = ((0x10D40, 0x10D49), (0x116D0, 0x116E3), (0x11BF0, 0x11BF9), (0x16130, 0x16139), (0x16D70, 0x16D79), (0x1CCF0, 0x1CCF9), (0x1E5F1, 0x1E5FA))
+#: Letters of the third plane; all others beyond the kernel's tables are neither letter, number nor space.
+THIRD_PLANE = ((0x30000, 0x3134A), (0x31350, 0x323AF))
+
+
 @lru_cache(1)
 def _classes() -> np.ndarray:
-    """0 other, 1 letter, 2 number, 3 white space (property White_Space)."""
+    """0 other, 1 letter, 2 number, 3 white space (property White_Space); the last place is for all beyond the table."""
     m = category_masks()
-    out = np.zeros(len(m["letter"]), np.int8)
-    out[m["letter"]] = 1
-    out[m["number"]] = 2
-    out[m["space"]] = 3
+    out = np.zeros(THIRD_PLANE[-1][1] + 2, np.int8)
+    for k, v in (("letter", 1), ("number", 2), ("space", 3)):
+        out[:TABLE_SIZE][m[k][:TABLE_SIZE]] = v
     out[0x1C:0x20] = 0  # separators that only str.isspace() counts
+    for v, ranges in ((1, LATER_LETTERS + THIRD_PLANE), (2, LATER_NUMBERS)):
+        for a, b in ranges:
+            out[a : b + 1] = v
     return out
 
 
@@ -236,7 +249,8 @@ def pretoken_starts(codes: np.ndarray, off: np.ndarray) -> np.ndarray:
     last before a word, or to the end.
     """
     n = len(codes)
-    cls = has(_classes(), codes)
+    table = _classes()
+    cls = table[np.minimum(codes, len(table) - 1)]
     text0 = np.zeros(n + 1, bool)
     text0[off] = True
     text0 = text0[:n]

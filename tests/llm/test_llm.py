@@ -124,6 +124,17 @@ def test_every_plane_has_a_class(library):
     assert got == [e.ids for e in library.encode_batch(xs, add_special_tokens=False)]
 
 
+def test_later_letters_are_the_librarys(library):
+    xs = [",\ua7da金（A", "\U00010d52,３eA\U00010d5a金（1", "\U0003251a金,\U000330e9\U00032dde，", "1\U00010d40金", "\U00013460金", "\U0003134f金", "\U0003134a金"]
+    got = tokens.encoder(tokens.VOCABULARY).encode(pa.array(xs)).to_pylist()
+    assert got == [e.ids for e in library.encode_batch(xs, add_special_tokens=False)]
+    split = pytest.importorskip("tokenizers").pre_tokenizers.ByteLevel(add_prefix_space=False).pre_tokenize_str
+    for ranges in (tokens.LATER_LETTERS, tokens.LATER_NUMBERS, tokens.THIRD_PLANE):
+        for c in {x for a, b in ranges for x in (a - 1, a, b, b + 1)}:
+            codes, off = to_codes(pa.array([f"a{chr(c)}1"]))
+            assert int(tokens.pretoken_starts(codes, off).sum()) == len(split(f"a{chr(c)}1")), hex(c)
+
+
 def test_perfect_hash():
     ranks = tokens.read_ranks(tokens.VOCABULARY)
     some = dict(list(ranks.items())[:5000])
