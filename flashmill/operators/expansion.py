@@ -73,28 +73,48 @@ def nearest(vectors: DataFrame, id_col: str, vec_col: str, queries: DataFrame, k
 
     The queries go over all vectors in blocks of QUERY_BLOCK: each batch of
     vectors keeps its k best per query, the k best of these are the result.
-    Null vectors are out; ties go to the smaller id.
+    Null vectors are out; ties go to the smaller id; no query gives no rows.
     """
     src = vectors.select(F.col(id_col).cast("long").alias("_i"), F.col(vec_col).alias("_v")).filter("_v is not null")
     qs = queries.select(F.col(id_col).cast("long").alias("_i"), F.col(vec_col).alias("_v")).filter("_v is not null")
     n = qs.count()
-    out = None
-    for b in range(max(1, -(-n // QUERY_BLOCK))):
-        t = qs.filter(F.pmod(F.xxhash64("_i"), F.lit(max(1, -(-n // QUERY_BLOCK)))) == b).toArrow()
+    out = src.sparkSession.createDataFrame([], "query_id long, vec_id long, similarity double")
+    for b in range(-(-n // QUERY_BLOCK)):
+        t = qs.filter(F.pmod(F.xxhash64("_i"), F.lit(-(-n // QUERY_BLOCK))) == b).toArrow()
         ids = t.column(0).to_numpy()
+        if not len(ids):
+            continue
         q = np.array(t.column(1).to_pylist(), np.float64).reshape(len(ids), -1)
         q = q / np.maximum(np.linalg.norm(q, axis=1, keepdims=True), 1e-300)
         one = src.mapInArrow(_score_batches(ids, q, k), "query_id long, vec_id long, similarity double")
-        out = one if out is None else out.unionByName(one)
+        out = out.unionByName(one)
     w = Window.partitionBy("query_id").orderBy(F.col("similarity").desc(), "vec_id")
     return out.withColumn("rank", F.row_number().over(w)).filter((F.col("rank") <= k) & (F.col("similarity") >= least))
 
 
-def tokenize(df: DataFrame, text: str) -> DataFrame:
-    """df with ``tokens``: words of Latin script, pairs of neighbouring ideographs; texts of 5 characters and 2 tokens at least."""
+def _any_of(words: list[str]) -> str:
+    """Pattern of the longest of words at a place: their common beginnings are written once."""
+    end, by = "" in words, {}
+    for w in sorted(set(words) - {""}):
+        by.setdefault(w[0], []).append(w[1:])
+    if not by:
+        return ""
+    one = "|".join(c + _any_of(rest) for c, rest in by.items())
+    return f"(?:{one}){'?' if end else ''}"
+
+
+def tokenize(df: DataFrame, text: str, words: DataFrame | None = None) -> DataFrame:
+    """df with ``tokens``: words of Latin script, pairs of neighbouring ideographs; texts of 5 characters and 2 tokens at least.
+
+    words (word): those of two ideographs at least stay whole, the longest at a
+    place from the left; pairs are made of what stands between them.
+    """
     d = RegexTokenizer(inputCol="_clean", outputCol="_words", pattern=r"[^\p{L}\p{N}]+", toLowercase=True).transform(df.filter(F.length(text) >= 5).withColumn("_clean", F.regexp_replace(text, r"(\p{IsHan})", " $1 ")))
-    han = F.regexp_extract_all(F.col(text), F.lit(r"(\p{IsHan}+)"), 1)
-    pairs = F.flatten(F.transform(han, lambda r: F.when(F.length(r) > 1, F.transform(F.sequence(F.lit(1), F.greatest(F.length(r) - 1, F.lit(1))), lambda i: F.substring(r, i, F.lit(2)))).otherwise(F.array(r))))
+    # a whole word begins with a mark that is no ideograph
+    whole = [] if words is None else [r[0] for r in words.filter(F.col("word").rlike(r"^\p{IsHan}{2,}$")).select("word").distinct().collect()]
+    marked = F.regexp_replace(F.translate(text, "\x01", "\x02"), f"({_any_of(whole)})", "\x01$1\x02") if whole else F.translate(text, "\x01", "\x02")
+    han = F.regexp_extract_all(marked, F.lit(r"(\x01?\p{IsHan}+)"), 1)
+    pairs = F.flatten(F.transform(han, lambda r: F.when(r.startswith("\x01"), F.array(F.substring(r, 2, 1 << 30))).when(F.length(r) > 1, F.transform(F.sequence(F.lit(1), F.greatest(F.length(r) - 1, F.lit(1))), lambda i: F.substring(r, i, F.lit(2)))).otherwise(F.array(r))))
     latin = F.filter("_words", lambda w: ~w.rlike(r"\p{IsHan}"))
     return d.withColumn("tokens", F.concat(latin, pairs)).filter(F.size("tokens") >= 2).drop("_clean", "_words")
 

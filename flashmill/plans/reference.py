@@ -224,9 +224,9 @@ def list_detail_join(spark, d):
 
 
 def w2v_expand(spark, d):
-    tok = expansion.tokenize(read_table(spark, d, "news").select(F.col("content").alias("text")).filter("text is not null"), "text")
-    model = expansion.train_word2vec(tok)
     seeds = lexicon_merge(spark, d)
+    tok = expansion.tokenize(read_table(spark, d, "news").select(F.col("content").alias("text")).filter("text is not null"), "text", seeds)
+    model = expansion.train_word2vec(tok)
     if model is None:
         return spark.createDataFrame([], "word string, source_seed string, similarity double, polarity string")
     return expansion.expand(model, seeds)

@@ -162,6 +162,39 @@ def test_w2v_expand_does_the_operators_job(spark, monkeypatch):
     assert used == {} and got == {tuple(r) for r in reference.lexicon_merge(spark, d).collect()} and len(got) > 5
 
 
+def test_seeds_out_of_the_vocabulary_give_no_rows(spark):
+    rows = [(i, [float(i), 1.0]) for i in range(5)]
+    v = spark.createDataFrame(rows, "id long, v array<double>")
+    assert expansion.nearest(v, "id", "v", v.limit(0)).collect() == []
+    assert expansion.nearest(v.limit(0), "id", "v", v, least=-1.0).collect() == []
+    assert sorted((r.query_id, r.vec_id) for r in expansion.nearest(v, "id", "v", v.filter("id < 2"), 1, -1.0).collect()) == [(0, 1), (1, 2)]
+
+
+def test_seeds_stay_whole_words(spark):
+    words = spark.createDataFrame([("运输成本",), ("运输成本改善",), ("金价",), ("金",), ("A股",)], "word string")
+    text = "随着运输成本改善有限，金价Gold up\x01运输成本涨"
+    got = expansion.tokenize(spark.createDataFrame([(text,), (None,), ("金价",)], "text string"), "text", words)
+    assert [r.tokens for r in got.collect()] == [["gold", "up", "随着", "运输成本改善", "有限", "金价", "运输成本", "涨"]]
+    none = expansion.tokenize(spark.createDataFrame([(text,)], "text string"), "text", words.limit(0)).first().tokens
+    assert none == expansion.tokenize(spark.createDataFrame([(text,)], "text string"), "text").first().tokens and "运输成本" not in none
+
+
+def test_w2v_expand_reaches_seeds_of_the_texts(spark, monkeypatch, tmp_path):
+    from flashmill.plans import reference
+
+    rnd = random.Random(4)
+    texts = ["".join(rnd.sample(["运输成本改善", "矿石品位改善", "金价", "上涨", "白银"], 4)) for _ in range(80)]
+    spark.createDataFrame([(t,) for t in texts], "content string").write.parquet(f"{tmp_path}/news.parquet")
+    seeds = [("运输成本改善", "正面"), ("不在文中的词", "负面")]
+    spark.createDataFrame(seeds, "word string, polarity string").write.parquet(f"{tmp_path}/lexicon.parquet")
+    monkeypatch.setattr(expansion.expand, "__defaults__", (expansion.TOP_N, -1.0))
+    got = reference.w2v_expand(spark, str(tmp_path)).collect()
+    assert {(r.source_seed, r.polarity) for r in got} == {("运输成本改善", "positive")} and "上涨" in {r.word for r in got}
+    spark.createDataFrame(seeds[1:], "word string, polarity string").write.mode("overwrite").parquet(f"{tmp_path}/lexicon.parquet")
+    spark.catalog.clearCache()
+    assert reference.w2v_expand(spark, str(tmp_path)).collect() == []
+
+
 def test_private_use_characters_are_no_triggers():
     from flashmill.operators.events import Rules
     from flashmill.operators.lexicon import Ontology, Trigger
