@@ -46,7 +46,7 @@ from flashmill.llm.forms import digests, field_list_rows, form_codes, forms, spl
 from flashmill.llm.lines import line_ids
 from flashmill.llm.looks import looks
 from flashmill.operators.prefilter import maybe_in
-from flashmill.session import Versions, delete_at_exit, delete_path, materialize, shared_dir
+from flashmill.session import Versions, delete_at_exit, delete_path, materialize, shared_dir, shuffles_deleted, written
 
 MIN_CHARS = 100
 MAX_EDITS = 0.2
@@ -69,6 +69,8 @@ KNOWN, AS_KNOWN = 16, 1 << 30
 PARTS = 6
 #: Routed entries in one shard.
 SHARD_ENTRIES = 100_000
+#: Entries a task holds before it sends them to their shards; texts whose pairs are put together at once, and the least number of such groups.
+HELD, BUCKET, MIN_BUCKETS = 1 << 19, 100_000, 12
 #: Lists up to SCAN are compared whole, longer ones by beams.
 SCAN = 512
 BEAM, ENTRIES, LINKS, ROUNDS = 12, 8, 8, 6
@@ -78,8 +80,8 @@ AT_ONCE = 1 << 14
 WIDTH = 8
 #: Slots in common from which a pair is compared exactly in any case; of pairs with fewer, LEAST_SHARED at least, a query's best one is.
 ALL_FROM, LEAST_SHARED = 14, 10
-#: Parts of a text and cells of its 2-grams in the lower bound of a distance.
-BLOCKS, CELLS = 3, 128
+#: Cells of a text's 3-grams in the lower bound of a distance.
+CELLS = 2048
 #: Cells of the anchors in the upper bound.
 ANCHOR_CELLS = 1024
 #: Pairs whose distances are computed together, and characters of these.
@@ -231,7 +233,7 @@ def keep_rows(codes: np.ndarray, off: np.ndarray, rows: np.ndarray) -> tuple[np.
 
 def _entry_batches(common: np.ndarray, sample: bytes, shards: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        packer = Packer(sample)
+        packer, held = Packer(sample), []
         for batch in batches:
             for part in pieces(batch, 2, 1 << 19):
                 codes, off = to_codes(packer.unpack(part.column(2)))
@@ -240,17 +242,51 @@ def _entry_batches(common: np.ndarray, sample: bytes, shards: int):
                 use = route != 0
                 use[:, 1:] &= route[:, 1:] != route[:, :-1]
                 row, gram = np.nonzero(use)[0], route[use]
-                packed = pa.Array.from_buffers(pa.binary(), len(sig), [None, pa.py_buffer(np.arange(len(sig) + 1, dtype=np.int32) * (SLOTS // 2)), pa.py_buffer(np.ascontiguousarray(sig))])
-                shard = (_mix(gram.view(np.uint64)) % np.uint64(shards)).astype(np.int32)
-                at = pa.array(row)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(shard), pa.array(gram), part.column(0).take(at), part.column(1).take(at), packed.take(at), pa.array(np.diff(off).astype(np.int32)).take(at)],
-                    ["_shard", "_gram", "_node", "_batch", "_sig", "_size"],
-                )
+                held.append((gram, part.column(0).to_numpy()[row], part.column(1).to_numpy()[row], sig[row], np.diff(off).astype(np.int32)[row]))
+                if sum(len(x[0]) for x in held) >= HELD:
+                    yield _by_shard(held, shards)
+                    held = []
+        if held:
+            yield _by_shard(held, shards)
 
     return run
 
 
+def _by_shard(held: list[tuple], shards: int) -> pa.RecordBatch:
+    """_shard, _entries: the entries of each shard, packed."""
+    cols = [np.concatenate(x) for x in zip(*held)]
+    shard = (_mix(cols[0].view(np.uint64)) % np.uint64(shards)).astype(np.int32)
+    return pa.RecordBatch.from_arrays([pa.array(x) for x in _grouped(shard, *cols)], ["_shard", "_entries"])
+
+
+def _grouped(key: np.ndarray, *cols: np.ndarray) -> tuple[np.ndarray, list[bytes]]:
+    """(each key, its rows of cols packed)."""
+    order = np.argsort(key, kind="stable")
+    keys, at = np.unique(key[order], return_index=True)
+    at = [*at.tolist(), len(order)]
+    return keys, [pack_columns(*(c[order[a:b]] for c in cols)) for a, b in zip(at[:-1], at[1:])]
+
+
+def pack_columns(*cols: np.ndarray) -> bytes:
+    """Columns of integers, a row of bytes for each of their bytes, packed."""
+    head = np.array([len(cols[0])], np.int64)
+    return zstandard.compress(b"".join([head.tobytes(), *(np.ascontiguousarray(np.ascontiguousarray(c).view(np.uint8).reshape(len(c), -1).T).tobytes() for c in cols)]), 1)
+
+
+def unpack_columns(blobs: list[bytes], kinds: tuple[np.dtype, ...]) -> list[np.ndarray]:
+    """The rows of all blobs; kinds: dtype of each column, with a shape for one of several values."""
+    kinds = tuple(np.dtype(k) for k in kinds)
+    got = [[np.zeros((0, *k.shape), k.base)] for k in kinds]
+    for blob in blobs:
+        raw = zstandard.decompress(blob)
+        n, at = int(np.frombuffer(raw, np.int64, 1)[0]), 8
+        for k, out in zip(kinds, got):
+            x = np.frombuffer(raw, np.uint8, n * k.itemsize, at).reshape(k.itemsize, n)
+            out.append(np.ascontiguousarray(x.T).view(k.base).reshape(n, *k.shape))
+            at += n * k.itemsize
+    return [np.concatenate(x) for x in got]
+
+
 def shared(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Half bytes that two signatures have in common."""
     x = a ^ b
@@ -464,27 +500,47 @@ def feed(segments: list[Segment], gram: np.ndarray, node: np.ndarray, batch: np.
     return np.concatenate(pairs, 1), segments
 
 
-_SHARD_OUT = "_shard int, _q long, _p long, _pb long, _s int, _lo long, _hi long, _graph binary"
+_ENTRY = (np.int64, np.int64, np.int64, (np.uint64, (SLOTS // 16,)), np.int32)
+_PAIR = (np.int64, np.int64, np.int64, np.uint8)
+_SHARD_OUT = "_shard int, _bucket int, _pairs binary, _lo long, _hi long, _graph binary"
 
 
-def _first_feed(key: tuple, entries: pa.Table) -> pa.Table:
-    return _feed_shard(key, entries, None)
+def _first_feed(buckets: int):
+    return lambda key, entries: _feed_shard(key, entries, None, buckets)
 
 
-def _feed_shard(key: tuple, entries: pa.Table, stored: pa.Table | None) -> pa.Table:
+def _feed_both(buckets: int):
+    return lambda key, entries, stored: _feed_shard(key if key[0] is not None else (entries.column("_shard")[0],), entries, stored, buckets)
+
+
+def _feed_shard(key: tuple, entries: pa.Table, stored: pa.Table | None, buckets: int) -> pa.Table:
     old = live([Segment.unpack(x) for x in stored.column("_graph").to_pylist()]) if stored is not None else []
-    col = lambda c: entries.column(c).to_numpy()
-    sig = np.frombuffer(b"".join(entries.column("_sig").to_pylist()), np.uint64).reshape(-1, SLOTS // 16)
-    pairs, segments = feed(old, col("_gram"), col("_node"), col("_batch"), sig, col("_size"))
+    pairs, segments = feed(old, *unpack_columns(entries.column("_entries").to_pylist(), _ENTRY))
+    pairs = pairs[:, np.argsort(pairs[0], kind="stable")]
+    bucket, blobs = _grouped(bucket_of(pairs[0], buckets), *pairs[:3], pairs[3].astype(np.uint8)) if pairs.shape[1] else ([], [])
     fresh = [s for s in segments if not any(s is o for o in old)]
-    k, g = pairs.shape[1], len(fresh)
-    none = lambda n, kind: pa.nulls(n, kind)
-    both = lambda a, b, kind: pa.chunked_array([pa.array(a).cast(kind) if a is not None else none(k, kind), pa.array(b, kind) if b is not None else none(g, kind)])
-    cols = [
-        both(np.full(k, key[0].as_py()), [key[0].as_py()] * g, pa.int32()), both(pairs[0], None, pa.int64()), both(pairs[1], None, pa.int64()), both(pairs[2], None, pa.int64()), both(pairs[3], None, pa.int32()),
-        both(None, [s.lo for s in fresh], pa.int64()), both(None, [s.hi for s in fresh], pa.int64()), both(None, [s.pack() for s in fresh], pa.binary()),
-    ]
-    return pa.Table.from_arrays(cols, ["_shard", "_q", "_p", "_pb", "_s", "_lo", "_hi", "_graph"])
+    k, g = len(blobs), len(fresh)
+    rows = [[key[0].as_py()] * (k + g), [*bucket, *[None] * g], [*blobs, *[None] * g], *([None] * k + [f(s) for s in fresh] for f in (lambda s: s.lo, lambda s: s.hi, Segment.pack))]
+    return _shard_table(rows)
+
+
+def _shard_table(rows: list[list]) -> pa.Table:
+    kinds = (pa.int32(), pa.int32(), pa.binary(), pa.int64(), pa.int64(), pa.binary())
+    return pa.Table.from_arrays([pa.array(x, kind) for x, kind in zip(rows, kinds)], ["_shard", "_bucket", "_pairs", "_lo", "_hi", "_graph"])
+
+
+def bucket_of(node: np.ndarray, buckets: int) -> np.ndarray:
+    return (_mix(node.astype(np.uint64) * _MUL) % np.uint64(buckets)).astype(np.int32)
+
+
+def _ends(key: tuple, rows: pa.Table) -> pa.Table:
+    """_q, _p, _pb, _top: each pair of some queries that is to be compared once; _top: a query's most similar one."""
+    q, p, pb, s = unpack_columns(rows.column("_pairs").to_pylist(), _PAIR)
+    order = np.lexsort((-p, -s.astype(np.int64), q))
+    q, p, pb, s = q[order], p[order], pb[order], s[order]
+    first = np.concatenate([[True], q[1:] != q[:-1]])[: len(q)]
+    use = first | ((s >= ALL_FROM) & np.concatenate([[True], (q[1:] != q[:-1]) | (p[1:] != p[:-1])])[: len(q)])
+    return pa.table({"_q": q[use], "_p": p[use], "_pb": pb[use], "_top": first[use]})
 
 
 def fit(texts: DataFrame, column: str, id_col: str) -> tuple[np.ndarray, bytes]:
@@ -591,28 +647,37 @@ def _together(codes: np.ndarray, a: np.ndarray, m: np.ndarray, b: np.ndarray, n:
     d = m.astype(np.int64)[act]
     top, bit, rest, most = top[act], bit[act], n[act], k[act]
     lane = np.arange(len(act))
+    # a path of k edits at most stays between these diagonals, as k holds the difference in length and each step aside
+    longer = (n - m)[act]
+    above, below = int(((most + longer + 1) // 2).max()), int(((most - longer) // 2).max())
     for j in range(int(n.max())):
-        e = eq[:, sym[j, act]]
-        xv = e | mv
-        t = e & pv
-        t += pv
-        carry = t < pv
-        for w in range(1, words):
+        # words outside the band stand still: their cells grow by 1 along the row above it and down the column below it, so no cell is less than it should be
+        u, v = min(max(0, (j - above) >> 6), words - 1), min(words, ((j + below) >> 6) + 1)
+        e, p, q = eq[u:v, sym[j, act]], pv[u:v], mv[u:v]
+        xv = e | q
+        t = e & p
+        t += p
+        carry = t < p
+        for w in range(1, v - u):
             t[w] += carry[w - 1]
             carry[w] |= carry[w - 1] & (t[w] == 0)
-        t ^= pv
+        t ^= p
         t |= e  # where the distance stays or falls along the row
-        ph = ~(t | pv)
-        ph |= mv
-        mh = pv & t
-        d += (ph[top, lane] >> bit & one).astype(np.int64) - (mh[top, lane] >> bit & one).astype(np.int64)
+        ph = ~(t | p)
+        ph |= q
+        mh = p & t
+        if v == words:
+            last, at = np.maximum(top - u, 0), bit
+        else:
+            last, at = np.clip(top - u, 0, v - u - 1), np.where(top < v, bit, np.uint64(63))
+        d += (ph[last, lane] >> at & one).astype(np.int64) - (mh[last, lane] >> at & one).astype(np.int64)
         up, down = ph << one, mh << one
         up[1:] |= ph[:-1] >> np.uint64(63)
         down[1:] |= mh[:-1] >> np.uint64(63)
         up[0] |= one
-        pv = ~(xv | up)
-        pv |= down
-        mv = up & xv
+        np.bitwise_not(xv | up, out=p)
+        p |= down
+        np.bitwise_and(up, xv, out=q)
         end = rest == j + 1
         if j & 15 == 15 or end.any():
             far = d - (rest - j - 1) > most
@@ -644,27 +709,37 @@ def _column_bound(pv: np.ndarray, mv: np.ndarray, j: int, m: np.ndarray, n: np.n
     return np.where(row < m, (start + end - 16 + 1) // 2 + left, 1 << 30).min(0)
 
 
-def far_apart(codes: np.ndarray, off: np.ndarray, x: np.ndarray, y: np.ndarray, k: np.ndarray) -> np.ndarray:
-    """Pairs that can't be within k: an edit spoils two 2-grams of the longer text x at most, all others stand in y, moved by k at most.
+def gram_cells(codes: np.ndarray) -> np.ndarray:
+    """The cell among CELLS of the 3-gram at each place."""
+    n = len(codes)
+    pad = np.concatenate([codes, np.zeros(2, codes.dtype)]).astype(np.uint64)
+    h = ((pad[:n] * _B + pad[1 : n + 1]) * _B + pad[2 : n + 2]) * _MUL
+    return (h >> np.uint64(64 - CELLS.bit_length() + 1)).astype(np.int64)
 
-    The 2-grams of each of BLOCKS parts of x are counted against those of y in
-    the part's reach, in CELLS cells by hash.
+
+def spoiled(cells: np.ndarray, off: np.ndarray, x: np.ndarray, y: np.ndarray, k: np.ndarray) -> np.ndarray:
+    """3-grams of the longer text x that edits to y spoil at least, for pairs within k: an edit spoils three at most.
+
+    All others stand in y, moved to the left by the half of k and the difference
+    in length at most, and to the right by the half of k without it. A cell has
+    a bit for each of 64 places or fewer at which y holds a gram of it.
     """
-    n = len(x)
-    m = np.diff(off)[x]
-    pair, at = np.repeat(np.arange(n), m - 1), _spans(off[x], m - 1)
-    gram = lambda i: (_mix((codes[i].astype(np.uint64) << np.uint64(32) | codes[i + 1]) * _MUL) >> np.uint64(32)).astype(np.int64) % CELLS
-    block = (at - off[x][pair]) * BLOCKS // m[pair]
-    mine = np.bincount((pair * BLOCKS + block) * CELLS + gram(at), minlength=n * BLOCKS * CELLS).reshape(n, BLOCKS, CELLS)
-    m2 = np.diff(off)[y]
-    pair, at = np.repeat(np.arange(n), np.maximum(m2 - 1, 0)), _spans(off[y], np.maximum(m2 - 1, 0))
-    place, cell = at - off[y][pair], gram(at)
-    out = np.zeros(n, np.int64)
-    for i in range(BLOCKS):
-        near = (place >= (m * i // BLOCKS - k)[pair]) & (place <= (-(-m * (i + 1) // BLOCKS) + k)[pair])
-        theirs = np.bincount(pair[near] * CELLS + cell[near], minlength=n * CELLS).reshape(n, CELLS)
-        out += np.maximum(mine[:, i] - theirs, 0).sum(1)
-    return out > 2 * k
+    n, size = len(x), np.diff(off)
+    m, less = size[x], size[x] - size[y]
+    shift = np.ceil(np.log2(np.maximum(m, 64) / 64)).astype(np.int64)
+    mx, my = np.maximum(m - 2, 0), np.maximum(size[y] - 2, 0)
+    at, place = _spans(off[y], my), _spans(np.zeros(n, np.int64), my)
+    has_ = np.zeros(n * CELLS, np.uint64)
+    np.bitwise_or.at(has_, np.repeat(np.arange(n) * CELLS, my) + cells[at], np.uint64(1) << (place >> np.repeat(shift, my)).astype(np.uint64))
+    # the bits in reach of each of x's places
+    own = np.arange(64)
+    lo = np.maximum((own << shift[:, None]) - ((k + less) // 2)[:, None], 0) >> shift[:, None]
+    hi = np.clip(((own + 1 << shift[:, None]) - 1 + ((k - less) // 2)[:, None]) >> shift[:, None], 0, 63)
+    reach = ((~np.uint64(0) << np.minimum(lo, 63).astype(np.uint64)) & (~np.uint64(0) >> (63 - hi).astype(np.uint64))).ravel()
+    at, place = _spans(off[x], mx), _spans(np.zeros(n, np.int64), mx)
+    pair = np.repeat(np.arange(n), mx)
+    got = has_[pair * CELLS + cells[at]] & reach[(pair << 6) + (place >> shift[pair])]
+    return np.bincount(pair[got == 0], minlength=n)
 
 
 def surely_near(codes: np.ndarray, off: np.ndarray, x: np.ndarray, y: np.ndarray, k: np.ndarray) -> np.ndarray:
@@ -736,9 +811,10 @@ def close_pairs(texts: pa.Array, x: np.ndarray, y: np.ndarray) -> np.ndarray:
     yes = [np.zeros(0, np.int64)]
     some = np.flatnonzero((size[x] - size[y] <= k) & (size[x] > 1))
     rest = [np.zeros(0, np.int64)]
-    for lo, hi in _cuts(np.cumsum(size[x][some]), 1 << 16):
+    cells = gram_cells(codes)
+    for lo, hi in _cuts(np.cumsum(np.maximum(size[x][some], MIN_CHARS)), 1 << 16):
         i = some[lo:hi]
-        i = i[~far_apart(codes, off, x[i], y[i], k[i])]
+        i = i[spoiled(cells, off, x[i], y[i], k[i]) <= 3 * k[i]]
         near = surely_near(codes, off, x[i], y[i], k[i])
         yes.append(i[near])
         rest.append(i[~near])
@@ -769,7 +845,7 @@ def decide(pairs: DataFrame, texts: DataFrame, n_pairs: int, sample: bytes) -> D
 
 def _source_rows(news: DataFrame, drop: DataFrame | None, id_col: str, batch, source: str, text: str) -> DataFrame:
     src = news.select(F.col(id_col).cast("long").alias("_id"), batch.cast("long").alias("_batch"), F.col(text).alias("_c"), F.col(source).alias("_source"))
-    src = src.filter(F.regexp_replace("_c", r"(?U)\s+", "") != "")
+    src = src.filter(F.col("_c").rlike(r"(?U)\S"))
     # a row per source, whose lines each stand in a tenth of its rows
     return src.withColumn("_drop", F.lit(None).cast("array<long>")) if drop is None else src.join(F.broadcast(drop), "_source", "left")
 
@@ -816,6 +892,10 @@ class HistoryIndex:
         batch: column of batch numbers, all higher than those of earlier calls;
         none: the rows are one batch. drop: _source, _drop (lines to leave out).
         """
+        with shuffles_deleted(self.spark):
+            return self._add(news, drop, id_col, source, text, batch)
+
+    def _add(self, news: DataFrame, drop: DataFrame | None, id_col: str, source: str, text: str, batch: str | None) -> DataFrame:
         number, state = self.versions.latest()
         state = state or {"fit": None, "shards": 0, "nodes": [], "graphs": [], "last": -1, "entries": 0}
         src = _source_rows(news, drop, id_col, F.lit(state["last"] + 1) if batch is None else F.col(batch), source, text)
@@ -826,7 +906,7 @@ class HistoryIndex:
         else:
             common, sample = self._fitted(state["fit"])
         rows = src.select("_id", "_batch", "_c", "_drop").mapInArrow(_canon_batches(sample), "_id long, _batch long, _key binary, _text binary")
-        rows = materialize(rows.filter("_key is not null"), "canon")
+        rows, canon = written(rows.filter("_key is not null"), "canon")
         total, lo, hi = rows.agg(F.count(F.lit(1)), F.min("_batch"), F.max("_batch")).first()
         if not total:
             return rows.select(F.col("_id").alias(id_col))
@@ -842,12 +922,14 @@ class HistoryIndex:
             nodes = nodes.join(old, "_key", "left_anti")
         state["nodes"].append(self._write(nodes, "nodes"))
         nodes = self._read(state["nodes"][-1:])
+        keys = materialize(rows.select("_id", "_batch", "_key"), "canon-keys")
+        delete_path(self.spark, canon)  # its texts stand in the nodes
         near = self._search(state, nodes, total, common, sample)
         known = nodes.select("_key", "_node", "_first", "_n").join(near, "_node", "left")
         known = known.select("_key", F.least("_first", "_near").alias("_since"), "_first", "_n").filter((F.col("_n") > 1) | (F.col("_since") < F.col("_first")))
         known = known.select("_key", "_since", "_n")
         known = materialize(known if again is None else known.unionByName(again), "known")
-        found = materialize(_later(rows.select("_id", "_batch", "_key"), known, total).select(F.col("_id").alias(id_col)), "found")
+        found = materialize(_later(keys, known, total).select(F.col("_id").alias(id_col)), "found")
         state["last"] = hi
         gone = self.vacuum(state) if len(state["graphs"]) > self.MAX_PARTS else []
         self.versions.commit(number + 1, state)
@@ -859,8 +941,8 @@ class HistoryIndex:
         """_node, _near (a batch): the new nodes that repeat an earlier one; their segments are written."""
         state["shards"] = state["shards"] or max(1, math.ceil(total * ROUTES / self.shard_entries))
         texts = nodes.filter("_text is not null")
-        schema = "_shard int, _gram long, _node long, _batch long, _sig binary, _size int"
-        entries = texts.select("_node", "_first", "_text").mapInArrow(_entry_batches(common, sample, state["shards"]), schema)
+        entries = texts.select("_node", "_first", "_text").mapInArrow(_entry_batches(common, sample, state["shards"]), "_shard int, _entries binary")
+        buckets = max(MIN_BUCKETS, math.ceil(total / BUCKET))
         if state["graphs"]:
             entries = materialize(entries, "entries")
             stored = self._read(state["graphs"]).filter("_graph is not null").select("_shard", "_graph")
@@ -869,21 +951,18 @@ class HistoryIndex:
                 stored = stored.filter(F.col("_shard").isin([r[0] for r in touched.collect()]))
             else:
                 stored = stored.join(touched, "_shard", "left_semi")
-            out = entries.groupBy("_shard").cogroup(stored.groupBy("_shard")).applyInArrow(_feed_both, _SHARD_OUT)
+            out = entries.groupBy("_shard").cogroup(stored.groupBy("_shard")).applyInArrow(_feed_both(buckets), _SHARD_OUT)
         else:
-            out = entries.groupBy("_shard").applyInArrow(_first_feed, _SHARD_OUT)
+            out = entries.groupBy("_shard").applyInArrow(_first_feed(buckets), _SHARD_OUT)
         state["graphs"].append(self._write(out, "graphs"))
         state["entries"] += total * ROUTES
-        pairs = self._read(state["graphs"][-1:]).filter("_q is not null").select("_q", "_p", "_pb", "_s")
-        # of each query at most WIDTH from each of its shards, the most similar first
-        found = pairs.groupBy("_q").agg(F.sort_array(F.collect_set(F.struct("_s", "_p", "_pb")), asc=False).alias("_m"))
-        found = materialize(found, "found-near")
-        top = found.select("_q", F.col("_m")[0]["_p"].alias("_p"), F.col("_m")[0]["_pb"].alias("_pb"))
+        pairs = self._read(state["graphs"][-1:]).filter("_pairs is not null").select("_bucket", "_pairs")
+        # of each query the most similar one, and at most WIDTH from each of its shards that are compared in any case
+        found = materialize(pairs.groupBy("_bucket").applyInArrow(_ends, "_q long, _p long, _pb long, _top boolean"), "found-near")
+        top = found.filter("_top").drop("_top")
         stock = self._read(state["nodes"]).filter("_text is not null").select("_node", "_text")
-        yes = decide(top, stock, found.count(), sample)
-        more = found.filter(F.get("_m", F.lit(1))["_s"] >= ALL_FROM).join(yes, "_q", "left_anti")
-        rest = more.select("_q", F.explode(F.filter(F.slice("_m", 2, F.size("_m")), lambda x: x["_s"] >= ALL_FROM)).alias("_x"))
-        rest = materialize(rest.select("_q", "_x._p", "_x._pb"), "rest")
+        yes = decide(top, stock, top.count(), sample)
+        rest = materialize(found.filter("not _top").drop("_top").join(yes.select("_q"), "_q", "left_anti"), "rest")
         yes = yes.unionByName(decide(rest, stock, rest.count(), sample))
         return yes.groupBy(F.col("_q").alias("_node")).agg(F.min("_pb").alias("_near"))
 
@@ -899,10 +978,6 @@ class HistoryIndex:
         return old
 
 
-def _feed_both(key: tuple, entries: pa.Table, stored: pa.Table) -> pa.Table:
-    return _feed_shard(key if key[0] is not None else (entries.column("_shard")[0],), entries, stored)
-
-
 def _rewrite(shards: int):
     def run(key: tuple, stored: pa.Table) -> pa.Table:
         rows = []
@@ -913,10 +988,9 @@ def _rewrite(shards: int):
                 w = s.who[m]
                 part = s if m.all() else Segment.of(s.lo, s.hi, s.gram[m], s.node[w], s.batch[w], s.sig[w], s.size[w])
                 rows.append((k, s.lo, s.hi, part.pack()))
-        none = pa.nulls(len(rows), pa.int64())
         shard, lo, hi, graph = zip(*rows) if rows else ((), (), (), ())
-        cols = [pa.array(shard, pa.int32()), none, none, none, none.cast(pa.int32()), pa.array(lo, pa.int64()), pa.array(hi, pa.int64()), pa.array(graph, pa.binary())]
-        return pa.Table.from_arrays(cols, ["_shard", "_q", "_p", "_pb", "_s", "_lo", "_hi", "_graph"])
+        none = [None] * len(rows)
+        return _shard_table([shard, none, none, lo, hi, graph])
 
     return run
 

@@ -1,3 +1,4 @@
+import pathlib
 import random
 import unicodedata
 
@@ -8,6 +9,7 @@ from pyspark.sql import functions as F
 
 from flashmill.kernel import to_codes, to_strings
 from flashmill.llm import copies, language, leaks, lines, looks, neardup, plans, tokens
+from flashmill.session import shared_dir
 
 SYL = ["ba", "ke", "mo", "zor", "lin", "tas", "quo", "fel", "dun", "var"]
 
@@ -357,6 +359,43 @@ def test_bounds_of_the_distance():
     assert set(neardup.close_pairs(texts, x, y).tolist()) == want
 
 
+def test_sentences_in_another_order_need_no_exact_distance(monkeypatch):
+    rnd = random.Random(23)
+    word = lambda: "".join(rnd.choice(LATIN) for _ in range(rnd.randint(3, 9)))
+    texts, exact = [], []
+    for _ in range(60):
+        s = ["".join(word() for _ in range(8)) for _ in range(8)]
+        texts += ["".join(s), "".join(s[4:] + s[:4]), "".join(s).replace("e", "x")]
+    texts, at = pa.array(texts), np.arange(60) * 3
+    x, y = np.concatenate([at, at]), np.concatenate([at + 1, at + 2])
+    codes, off = to_codes(texts)
+    k = (neardup.MAX_EDITS * np.maximum(np.diff(off)[x], np.diff(off)[y]) + 1e-9).astype(np.int64)
+    want = set(np.flatnonzero(neardup.within_many(codes, off, x, y, k)).tolist())
+    within_many = neardup.within_many
+    monkeypatch.setattr(neardup, "within_many", lambda codes, off, x, *rest: (exact.extend(x.tolist()), within_many(codes, off, x, *rest))[1])
+    assert set(neardup.close_pairs(texts, x, y).tolist()) == want == set(range(60, 120))
+    assert len(exact) <= 6
+
+
+def test_columns_packed():
+    rnd = np.random.default_rng(24)
+    cols = [rnd.integers(-(1 << 60), 1 << 60, 70), rnd.integers(0, 1 << 63, (70, 4)).astype(np.uint64), rnd.integers(0, 99, 70).astype(np.int32)]
+    kinds = (np.int64, (np.uint64, (4,)), np.int32)
+    blobs = [neardup.pack_columns(*(c[a:b] for c in cols)) for a, b in ((0, 1), (1, 70))]
+    assert all((a == b).all() and a.dtype == b.dtype for a, b in zip(neardup.unpack_columns(blobs, kinds), cols))
+    assert [len(x) for x in neardup.unpack_columns([], kinds)] == [0, 0, 0]
+
+
+def test_an_index_leaves_no_shuffles_and_no_second_copy_of_texts(spark):
+    df = spark.createDataFrame([(i, b, t, "s") for i, b, t in corpus(random.Random(25))[0]], "seq long, batch_no long, content string, source string")
+    here = pathlib.Path(shared_dir(spark).removeprefix("file://"))
+    files = lambda: {f for d in (spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().localDirsString()) for f in pathlib.Path(d).rglob("shuffle_*.data") if f.stat().st_size}
+    tables, shuffles = set(here.iterdir()), files()
+    neardup.find_repeats(df, None)
+    assert not any(p.name.startswith("canon-") and not p.name.startswith("canon-keys") for p in set(here.iterdir()) - tables)
+    assert not files() - shuffles
+
+
 def test_stored_segments_and_beams(monkeypatch):
     monkeypatch.setattr(neardup, "SCAN", 8)
     rnd = random.Random(19)
