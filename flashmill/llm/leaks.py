@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flashmill.kernel import expand_folds, pieces
+from flashmill.kernel import expand_folds, owner, pieces
 from flashmill.llm.forms import form_codes
 from flashmill.llm.looks import looks
 
@@ -101,24 +101,26 @@ def start_codes(codes: np.ndarray, off: np.ndarray, lengths: tuple[int, int]) ->
 class Suffixes:
     """Some suffixes of joined texts in lexicographic order, as far as their first LENGTHS[-1] characters.
 
-    letters: the number of each character, below 1 << 16; four of them are one
-    key, so that a comparison takes four characters at a time. Places after a
-    text's end are 0.
+    letters: the number of each character, below 1 << bits; as many of them as
+    a word holds are one key, so that a comparison takes so many characters at a
+    time. Places after a text's end are 0.
     """
 
-    KEYS = LENGTHS[-1] // 4
-
-    def __init__(self, letters: np.ndarray, off: np.ndarray, at: np.ndarray):
+    def __init__(self, letters: np.ndarray, off: np.ndarray, at: np.ndarray, bits: int = 16):
+        self.bits, self.per = bits, 64 // bits
+        self.keys = -(-LENGTHS[-1] // self.per)
         self.end = _ends(off)
         left = self.end - np.arange(len(letters))
-        pad = np.concatenate([letters, np.zeros(3, np.int64)]).astype(np.uint64)
-        self.packed = pad[: len(letters)]
-        for j in range(1, 4):
-            self.packed = (self.packed << np.uint64(16)) | np.where(left > j, pad[j : len(letters) + j], np.uint64(0))
+        self.packed, width = letters.astype(np.uint64), 1
+        while width < self.per:  # twice as many characters at a time
+            more = min(width, self.per - width)
+            after = np.where(left > width, np.concatenate([self.packed[width:], np.zeros(min(width, len(left)), np.uint64)]), np.uint64(0))
+            self.packed = (self.packed << np.uint64(bits * more)) | (after >> np.uint64(bits * (width - more)))
+            width += more
         rank = np.zeros(len(at), np.int64)
         order = np.arange(len(at))
         tied = order.copy()
-        for k in range(self.KEYS):  # in each round only what is equal so far is sorted by the next key
+        for k in range(self.keys):  # in each round only what is equal so far is sorted by the next key
             key = self.key(at[order[tied]], k)
             by = np.lexsort((key, rank[tied])) if k else np.argsort(key)
             order[tied] = order[tied][by]
@@ -136,33 +138,36 @@ class Suffixes:
     def key(self, at: np.ndarray, k: int) -> np.ndarray:
         if not k:
             return self.packed[at]
-        to = at + 4 * k
+        to = at + self.per * k
         return np.where(to < self.end[at], self.packed[np.minimum(to, len(self.packed) - 1)], np.uint64(0))
 
     def common_prefixes(self) -> np.ndarray:
         """Characters that each suffix has in common with the one before it, up to LENGTHS[-1]."""
         out = np.zeros(len(self.sa), np.int64)
         go = np.arange(1, len(self.sa))
-        for k in range(self.KEYS):
+        for k in range(self.keys):
             a, b = self.key(self.sa[go - 1], k), self.key(self.sa[go], k)
             diff = a ^ b
             whole = diff == 0
-            for j in range(4):  # characters before the first difference, and before both end
-                part = ((diff >> np.uint64(48 - 16 * j)) == 0) & ((a >> np.uint64(48 - 16 * j)) & np.uint64(0xFFFF) != 0)
-                out[go[part]] = 4 * k + j + 1
+            for j in range(self.per):  # characters before the first difference, and before both end
+                low = np.uint64(self.bits * (self.per - 1 - j))
+                part = ((diff >> low) == 0) & ((a >> low) & np.uint64((1 << self.bits) - 1) != 0)
+                out[go[part]] = self.per * k + j + 1
             go = go[whole]
-        return out
+        return np.minimum(out, LENGTHS[-1])
 
     def find(self, other: Suffixes, q: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(first, end) in this order of the suffixes that start with the first length characters of the other's suffix at q."""
         lo, hi = np.zeros(len(q), np.int64), np.full(len(q), len(self.sa))
         go = np.arange(len(q))
-        for k in range(self.KEYS):
-            go = go[(length[go] > 4 * k) & (lo[go] < hi[go])]
+        for k in range(self.keys):
+            go = go[(length[go] > self.per * k) & (lo[go] < hi[go])]
             if not len(go):
                 break
             want = other.key(q[go], k)
-            lo[go], hi[go] = self._bisect(want, lo[go], hi[go], k, False), self._bisect(want, lo[go], hi[go], k, True)
+            # a start may end within the key: what follows is anything
+            rest = (np.uint64(1) << (self.bits * np.maximum(self.per * (k + 1) - length[go], 0)).astype(np.uint64)) - np.uint64(1)
+            lo[go], hi[go] = self._bisect(want & ~rest, lo[go], hi[go], k, False), self._bisect(want | rest, lo[go], hi[go], k, True)
         return lo, hi
 
     def _bisect(self, want: np.ndarray, lo: np.ndarray, hi: np.ndarray, k: int, right: bool) -> np.ndarray:
@@ -192,7 +197,8 @@ class Passages:
         self.alphabet = np.zeros(0x110000, np.uint16)
         kinds = np.unique(codes)
         self.alphabet[kinds] = np.arange(1, len(kinds) + 1) if len(kinds) < 0xFFFF else 1 + np.arange(len(kinds)) % 0xFFFE
-        self.suffixes = Suffixes(self.alphabet[codes].astype(np.int64), off, np.arange(len(codes)))
+        self.bits = min(16, max(4, (len(kinds) + 1).bit_length()))  # the highest number is for all other characters
+        self.suffixes = Suffixes(self.alphabet[codes].astype(np.int64), off, np.arange(len(codes)), self.bits)
         sa, lcp = self.suffixes.sa, self.suffixes.common_prefixes()
         left = _ends(off) - np.arange(len(codes))
         length = np.zeros(len(codes), np.int64)
@@ -204,7 +210,7 @@ class Passages:
             ok = np.zeros(len(codes), bool)
             ok[sa] = ~many | (k == LENGTHS[-1])  # what many passages share is searched by its longest start
             length[ok & (left >= k) & (wide | (k >= 8))] = k
-        self.q = np.flatnonzero(length)
+        self.q = sa[length[sa] > 0]  # in order: neighbours are found near each other
         self.length, self.item = length[self.q], item[self.q]
         self.place = self.q - off[:-1][self.item] if len(self.q) else self.q
         self.filters = []
@@ -252,15 +258,16 @@ def search(p: Passages, texts: pa.Array) -> list[tuple[int, int, int]]:
     hit = np.zeros(len(codes), bool)
     for f, h in zip(p.filters, starts(codes, off)):
         hit |= f[(h >> np.uint64(64 - FILTER_BITS)).astype(np.int64)] & (h != 0)
-    letters = np.where(p.alphabet[codes] == 0, 0xFFFF, p.alphabet[codes]).astype(np.int64)
-    shard = Suffixes(letters, off, np.flatnonzero(hit))
+    letters = p.alphabet[codes]
+    letters = np.where(letters == 0, (1 << p.bits) - 1, letters).astype(np.int64)
+    shard = Suffixes(letters, off, np.flatnonzero(hit), p.bits)
     lo, hi = shard.find(p.suffixes, p.q, p.length)
     n = hi - lo
     q = np.repeat(np.arange(len(p.q)), n)
     if not len(q):
         return []
     pos = shard.sa[np.repeat(lo, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)]
-    doc = np.searchsorted(off, pos, "right") - 1
+    doc = owner(off)[pos]
     item, place = p.item[q], p.place[q]
     which = doc * len(p.ids) + item
     diag = pos - off[doc] - place

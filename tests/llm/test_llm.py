@@ -452,6 +452,27 @@ def test_suffixes_stand_in_order():
     assert s.common_prefixes().tolist() == common
 
 
+@pytest.mark.parametrize("kinds, bits", [(3, 4), (600, 10), (3000, 12)])
+def test_starts_are_found_with_keys_of_any_width(kinds, bits):
+    rnd = random.Random(26)
+    chars = [chr(c) for c in range(0x4E00, 0x4E00 + kinds)]
+    base = [rnd.choice(chars[:40]) for _ in range(90)] + chars
+    passages = ["".join(base), "".join(base[5:70]), "".join(rnd.choice(chars[:2]) for _ in range(60))]
+    texts = ["".join(base[20:60]) + "Ω" + "".join(base[:40]), "".join(rnd.choice(chars[:2] + ["Ω"]) for _ in range(200)), "".join(base[1:20])]
+    p = leaks.Passages([1, 2, 3], passages)
+    assert p.bits == bits and p.suffixes.keys == -(-32 // (64 // bits))
+    codes, off = leaks.canonical_codes(pa.array(texts))
+    own = p.alphabet[codes]
+    shard = leaks.Suffixes(np.where(own == 0, (1 << bits) - 1, own).astype(np.int64), off, np.arange(len(codes)), bits)
+    lo, hi = shard.find(p.suffixes, p.q, p.length)
+    whole, ends = "".join(map(chr, codes)), off[1:]
+    asked = ["".join(map(chr, p.codes[q : q + n])) for q, n in zip(p.q.tolist(), p.length.tolist())]
+    for t, a, b in zip(asked, lo.tolist(), hi.tolist()):
+        want = {i for i in range(len(whole)) if whole.startswith(t, i) and i + len(t) <= ends[np.searchsorted(ends, i, "right")]}
+        assert set(shard.sa[a:b].tolist()) == want
+    assert (hi > lo).any()
+
+
 def test_registered():
     assert {"p1_found", "p4_found", "p6_found", "p7_found", "p8_ids", "p9_found", "p10_found"} <= set(plans.queries())
 
